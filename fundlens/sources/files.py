@@ -117,7 +117,7 @@ def parse_weight_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     `name`. A file is one record here, which its size limit of 1 MB makes safe.
     """
     usable = files.where((F.col("length") > 0) & (F.col("length") <= MAX_WEIGHT_FILE_BYTES))
-    text = F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", "")
+    text = F.regexp_replace(F.decode("content", "UTF-8"), "^\\x{FEFF}", "")
     lines = F.filter(F.split(text, "\r\n|\n|\r"), lambda line: F.length(F.trim(line)) > 0)
     line_type = ", ".join(f"{c} string" for c in FIELD_NAMES)
 
