@@ -19,7 +19,7 @@ KEY = "constituent_id"
 
 
 def with_names(df: DataFrame, constituents: DataFrame, *columns: str, by: str = KEY) -> DataFrame:
-    """Attach dimension columns. Spark broadcasts the dimension when its size allows."""
+    """Attach dimension columns. A dimension marked by joins.small_side is broadcast."""
     dim = constituents.select(F.col("id").alias(by), *columns)
     return df.join(dim, by)
 

@@ -1,4 +1,8 @@
-"""Portfolio operators: every portfolio in one job, narrowed by the caller's where()."""
+"""Portfolio operators: every portfolio in one job, narrowed by the caller's where().
+
+Holdings and constituents that joins.small_side has marked are broadcast; unmarked
+ones are left to Spark's own size estimate and its shuffle join.
+"""
 
 from __future__ import annotations
 

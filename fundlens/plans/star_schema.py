@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.operators import load, portfolio
+from fundlens.operators.joins import MAX_BROADCAST_ROWS, few_rows
 
 # Landing rules: events from FIRST_LANDING on arrive as files, those before LOADED_BEFORE are in the table.
 LOADED_BEFORE = "2024-01-06"
@@ -25,9 +26,21 @@ TRADE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "px", "qty"]
 class Market:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its footer is read once per Market."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    @cached_property
+    def _few_suppliers(self) -> bool:
+        return few_rows(self.table("supplier"), MAX_BROADCAST_ROWS // 2)
+
+    def _dimension(self, df: DataFrame) -> DataFrame:
+        """Mark a frame of at most two rows per supplier for broadcast, if those are few."""
+        return F.broadcast(df) if self._few_suppliers else df
 
     @cached_property
     def trades(self) -> DataFrame:
@@ -55,14 +68,14 @@ class Market:
     @cached_property
     def constituents(self) -> DataFrame:
         balance = F.col("s_acctbal")
-        return self._placed_suppliers.select(
+        return self._dimension(self._placed_suppliers.select(
             F.col("s_suppkey").alias("id"),
             F.col("s_name").alias("ticker"),
             F.upper("s_name").alias("name"),
             F.col("n_name").alias("sector"),
             F.col("r_name").alias("industry"),
             F.when(balance >= 5000, "Large").when(balance >= 0, "Mid").otherwise("Small").alias("market_cap"),
-        )
+        ))
 
     @property
     def _placed_suppliers(self) -> DataFrame:
@@ -86,7 +99,7 @@ class Market:
         positive = self.table("supplier").where("s_acctbal > 0").select(
             F.lit(6).cast("bigint").alias("etf_upload_id"), F.col("s_suppkey").alias("constituent_id"), weight(5)
         )
-        return regional.unionByName(positive)
+        return self._dimension(regional.unionByName(positive))
 
     @cached_property
     def uploads(self) -> DataFrame:
@@ -114,7 +127,7 @@ class Market:
         """Each security with the one that has the next id."""
         ids = self.table("supplier").select(F.col("s_suppkey").alias("key_a"))
         others = self.table("supplier").select(F.col("s_suppkey").alias("key_b"))
-        return ids.join(others, F.col("key_b") == F.col("key_a") + 1)
+        return self._dimension(ids.join(others, F.col("key_b") == F.col("key_a") + 1))
 
     @cached_property
     def quotes(self) -> DataFrame:
