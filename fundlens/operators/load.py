@@ -118,22 +118,23 @@ def upsert_constituents(existing: DataFrame, incoming: DataFrame, arrival: list[
     """The dimension after an upsert by ticker, the last incoming row winning.
 
     Incoming attributes replace the old ones, also by NULL. New tickers get ids
-    above the current maximum, in ticker order.
+    above the current maximum, in ticker order. Rows without a ticker are left out.
     """
+    incoming = incoming.where(F.col("ticker").isNotNull())
     kept = [a for a in _ATTRIBUTES if a in existing.columns]
     for a in kept:
         if a not in incoming.columns:
             incoming = incoming.withColumn(a, F.lit(None).cast("string"))
     last = dedup_last(incoming.select("ticker", *kept, *arrival), ["ticker"], arrival).drop(*arrival)
     fresh = last.withColumn("_incoming", F.lit(True))
-    old = existing.select("ticker", "id", *[F.col(a).alias(f"_old_{a}") for a in kept])
-    merged = old.join(fresh, "ticker", "full_outer").select(
-        "id", "ticker",
-        *[F.when(F.col("_incoming"), F.col(a)).otherwise(F.col(f"_old_{a}")).alias(a) for a in kept],
-    )
+    dated = ["created_at"] if "created_at" in existing.columns else []
+    old = existing.select("ticker", "id", *[F.col(a).alias(f"_old_{a}") for a in kept], *dated)
+    attributes = [F.when(F.col("_incoming"), F.col(a)).otherwise(F.col(f"_old_{a}")).alias(a) for a in kept]
+    attributes += [F.coalesce(c, F.current_timestamp()).alias(c) for c in dated]
+    merged = old.join(fresh, "ticker", "full_outer").select("id", "ticker", *attributes)
     top = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     added = global_row_number(merged.where(F.col("id").isNull()).drop("id"), [F.col("ticker").asc()], "_n")
-    numbered = added.select((F.col("_n") + top).alias("id"), "ticker", *kept)
+    numbered = added.select((F.col("_n") + top).alias("id"), "ticker", *kept, *dated)
     return merged.where(F.col("id").isNotNull()).unionByName(numbered)
 
 

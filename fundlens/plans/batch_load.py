@@ -49,7 +49,7 @@ def load_dimension(spark, source, root, load_id, raw: DataFrame | None) -> None:
             return
         listed = files.tickers_of(raw.where(F.col("ticker").isNotNull()))
     numbered = materialize(listed.withColumn("row", F.monotonically_increasing_id()))
-    existing = read_table(spark, root, "constituents")
+    existing = read_table(spark, root, "constituents", without=load_id)
     write_load(load.upsert_constituents(existing, numbered, ["row"]), root, "constituents", load_id)
 
 
@@ -57,7 +57,7 @@ def load_price_rows(spark, root, load_id, raw: DataFrame) -> None:
     labelled = label_batch(raw)
     constituents = read_table(spark, root, "constituents")
     good = files.as_price_table(labelled.where(F.col("issue").isNull()), constituents)
-    present = read_table(spark, root, "prices")
+    present = read_table(spark, root, "prices", without=load_id)
     write_load(load.append_new(present, good, ["constituent_id", "date"]), root, "prices", load_id)
     write_load(labelled.where(F.col("issue").isNotNull()), root, "rejects", load_id)
 
@@ -72,7 +72,7 @@ def label_batch(raw: DataFrame) -> DataFrame:
 def load_weights(spark, source, root, load_id, etf_name: str) -> None:
     rows, _ = files.parse_weight_files(files.weight_files(spark, source, etf_name))
     constituents = read_table(spark, root, "constituents")
-    headers, holdings = load.load_portfolios(rows, constituents, read_table(spark, root, "etf_uploads"))
+    headers, holdings = load.load_portfolios(rows, constituents, read_table(spark, root, "etf_uploads", without=load_id))
     headers = materialize(headers.withColumn("uploaded_at", F.current_timestamp()))
     holdings = materialize(holdings)
     write_load(headers, root, "etf_uploads", load_id)

@@ -12,13 +12,9 @@ from fundlens.sources.landing import ARRIVAL, landing_files, list_files, parse_p
 from fundlens.sources.tables import read_loads, read_table, write_load
 
 
-def ticker_watermarks(spark: SparkSession, root: str, before: str | None = None) -> DataFrame:
-    """Newest loaded date per ticker, from the price table. `before` leaves one load
-    out, so that a load that runs again sees the table as it was."""
-    prices = read_loads(spark, root, "prices")
-    if before is not None:
-        prices = prices.where(F.col("load_id") != before)
-    by_id = load.high_watermark(prices)
+def ticker_watermarks(spark: SparkSession, root: str, without: str | None = None) -> DataFrame:
+    """Newest loaded date per ticker, from the price table; see read_table for `without`."""
+    by_id = load.high_watermark(read_table(spark, root, "prices", without))
     names = read_table(spark, root, "constituents").select(F.col("id").alias("constituent_id"), "ticker")
     return by_id.join(names, "constituent_id").select("ticker", "wm")
 
@@ -81,15 +77,15 @@ def run_incremental(
     """
     require_loaded(spark, root)
     others = read_loads(spark, root, "files").where(F.col("load_id") != load_id)
-    states = landing_files(list_files(spark, incoming), others)
+    waiting = list_files(spark, incoming).join(others.select("file").distinct(), "file", "left_anti")
     # File names only, the same list Spark's own file index keeps on the driver.
-    pending = [r.file for r in states.where("state = 'pending'").select("file").collect()]
+    pending = [r["path"] for r in waiting.select("path").collect()]
     if not pending:
         return spark.createDataFrame([], "files_processed bigint, files_skipped bigint, rows_inserted bigint, rows_dropped bigint, new_watermark date")
     rows = parse_price_lines(price_lines(spark, pending))
     if dry_run:
         return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    return load_rows(spark, root, load_id, rows, ticker_watermarks(spark, root, before=load_id))
+    return load_rows(spark, root, load_id, rows, ticker_watermarks(spark, root, without=load_id))
 
 
 def recent_runs(spark: SparkSession, root: str, n: int = 100) -> DataFrame:

@@ -93,6 +93,17 @@ def weight_files(spark: SparkSession, path: str, name_part: str = "") -> DataFra
     return listed.where(~lower.contains("prices") & ~lower.contains("constituents"))
 
 
+def uploaded_files(spark: SparkSession, path: str) -> DataFrame:
+    """All files of an upload folder as binaryFile rows. Spark leaves empty files out of
+    a scan but not out of its file list, from which they are added with length 0."""
+    listed = spark.read.format("binaryFile").load(path)
+    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "url string")
+    last = F.replace(F.element_at(F.split("url", "/"), -1), F.lit("+"), F.lit("%2B"))
+    every = names.select(F.url_decode(last).alias("file"))
+    found = listed.withColumn("file", F.element_at(F.split("path", "/"), -1))
+    return every.join(found, "file", "left").withColumn("length", F.coalesce("length", F.lit(0)))
+
+
 def file_issues(files: DataFrame) -> DataFrame:
     """Files that break a file-level rule, one row per rule. `files` is a binaryFile
     listing with a file name, and may have a content_type."""

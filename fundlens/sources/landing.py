@@ -72,13 +72,14 @@ ARRIVAL = ["block", "row"]
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Paths and sizes of the files below a folder, without reading them; empty if there is no folder."""
+    """Files below a folder, without reading them; empty if there is no folder. `file` names
+    a file as rows read from it do, `path` is what a reader takes."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     try:
-        return reader.load(folder).select(F.col("path").alias("file"), "length")
+        return reader.load(folder).select(F.col("_metadata.file_path").alias("file"), "path", "length")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return spark.createDataFrame([], "file string, length bigint")
+            return spark.createDataFrame([], "file string, path string, length bigint")
         raise
 
 

@@ -65,8 +65,12 @@ def read_loads(spark: SparkSession, root: str, table: str) -> DataFrame:
         raise
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, table: str, without: str | None = None) -> DataFrame:
+    """A table as it stands; `without` leaves one load out, so that a load that is
+    repeated sees what its first run saw."""
     loads = read_loads(spark, root, table)
+    if without is not None:
+        loads = loads.where(F.col("load_id") != without)
     if table in SNAPSHOTS:
         loads = loads.where(F.col("load_id") == loads.agg(F.max("load_id")).scalar())
     return loads.select(*SCHEMAS[table].names)
@@ -89,4 +93,5 @@ def write_load(df: DataFrame, root: str, table: str, load_id: str) -> None:
 def drop_all(spark: SparkSession, root: str) -> None:
     """Empty every table, as a fresh load starts."""
     for table, columns in SCHEMAS.items():
-        spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{root}/{table}")
+        none = spark.createDataFrame([], T.StructType(columns.fields + [T.StructField("load_id", T.StringType())]))
+        none.write.mode("overwrite").partitionBy("load_id").parquet(f"{root}/{table}")

@@ -60,7 +60,7 @@ def _watermarks_before(spark: SparkSession, root: str, name: str, number: int) -
     if number > 0:
         previous = read_loads(spark, root, "watermarks").where(F.col("load_id") == batch_load_id(name, number - 1))
         return previous.select("ticker", "wm")
-    return ticker_watermarks(spark, root, before=batch_load_id(name, 0))
+    return ticker_watermarks(spark, root, without=batch_load_id(name, 0))
 
 
 def _check_name(spark: SparkSession, root: str, checkpoint: str, name: str) -> None:

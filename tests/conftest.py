@@ -10,4 +10,4 @@ from fundlens.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, "fundlens-tests")
+    return local_session(8, "fundlens-tests", **{"spark.sql.shuffle.partitions": "4"})
