@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlens.operators.joins import small_side
 from fundlens.operators.quality import dedup_last, label_price_rows
 from fundlens.operators.ranking import global_row_number
 
@@ -49,7 +50,12 @@ def classify_landing(
     parsed = F.col("issue") if "issue" in rows.columns else F.lit(None).cast("string")
     labelled = label_price_rows(rows.withColumn("_parsed", parsed), allow_zero=False)
     labelled = labelled.withColumn("issue", F.coalesce("_parsed", "issue")).drop("_parsed")
-    floors = file_floors(labelled, watermarks, file)
+    # One join brings a row its floor and whether its ticker is known: rows are many,
+    # and one ticker may have a large part of them.
+    floors = file_floors(labelled, watermarks, file).withColumn("_known", F.lit(True))
+    if universe is not None:
+        known = universe.select("ticker", F.lit(True).alias("_known"))
+        floors = floors.drop("_known").join(known, "ticker", "left")
     stale = F.col("date") <= F.col("floor")
     out = (
         labelled.join(floors, ["ticker", file], "left")
@@ -65,14 +71,8 @@ def classify_landing(
             .withColumn("issue", F.coalesce("issue", F.when(F.col("_last").isNull(), "duplicate")))
             .drop("_last")
         )
-    if universe is not None:
-        known = universe.select("ticker", F.lit(True).alias("_known"))
-        out = (
-            out.join(known, "ticker", "left")
-            .withColumn("issue", F.coalesce("issue", F.when(F.col("_known").isNull(), "unknown_ticker")))
-            .drop("_known")
-        )
-    return out
+    unknown = F.when(F.col("_known").isNull(), "unknown_ticker")
+    return out.withColumn("issue", F.coalesce("issue", unknown)).drop("_known")
 
 
 def admit_new_rows(rows: DataFrame, watermarks: DataFrame, file: str = "file") -> DataFrame:
@@ -185,7 +185,7 @@ def load_portfolios(
     )
     holdings = (
         matched.where(known)
-        .join(headers.select(F.col("filename").alias("file"), F.col("id").alias("etf_upload_id")), "file")
+        .join(small_side(headers.select(F.col("filename").alias("file"), F.col("id").alias("etf_upload_id"))), "file")
         .select("etf_upload_id", "constituent_id", F.col("weight").cast("decimal(18,8)").alias("weight"))
     )
     return headers, holdings

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from fundlens.operators import load, monitor, quality
 from fundlens.session import materialize
 from fundlens.sources import files
-from fundlens.sources.landing import ARRIVAL, parse_price_lines, price_lines
-from fundlens.sources.tables import drop_all, read_table, write_load
+from fundlens.sources.landing import ARRIVAL_OVER_FILES, price_file_rows
+from fundlens.sources.tables import drop_all, read_table, write_and_read, write_load
 
 
 def run_batch_load(
@@ -33,8 +33,7 @@ def run_batch_load(
         drop_all(spark, root)
     raw = None
     if load_prices:
-        # Checkpointed, because the row numbers that say which copy is last must not change between uses.
-        raw = materialize(parse_price_lines(price_lines(spark, f"{source}/prices.csv")))
+        raw = write_and_read(price_file_rows(spark, f"{source}/prices.csv"), root, "staged", load_id)
     load_dimension(spark, source, root, load_id, raw)
     if raw is not None:
         load_price_rows(spark, root, load_id, raw)
@@ -54,19 +53,18 @@ def load_dimension(spark, source, root, load_id, raw: DataFrame | None) -> None:
 
 
 def load_price_rows(spark, root, load_id, raw: DataFrame) -> None:
-    labelled = label_batch(raw)
+    labelled = write_and_read(label_batch(raw), root, "labelled", load_id)
     constituents = read_table(spark, root, "constituents")
     good = files.as_price_table(labelled.where(F.col("issue").isNull()), constituents)
     present = read_table(spark, root, "prices", without=load_id)
     write_load(load.append_new(present, good, ["constituent_id", "date"]), root, "prices", load_id)
-    write_load(labelled.where(F.col("issue").isNotNull()), root, "rejects", load_id)
 
 
 def label_batch(raw: DataFrame) -> DataFrame:
     """Batch rules on parsed rows; faults found in parsing come first."""
     parsed_well = raw.where(F.col("issue").isNull()).drop("issue")
-    checked = quality.quality_prices(parsed_well, ["ticker", "date"], ARRIVAL)
-    return materialize(checked.unionByName(raw.where(F.col("issue").isNotNull()), allowMissingColumns=True))
+    checked = quality.quality_prices(parsed_well, ["ticker", "date"], ARRIVAL_OVER_FILES)
+    return checked.unionByName(raw.where(F.col("issue").isNotNull()), allowMissingColumns=True)
 
 
 def load_weights(spark, source, root, load_id, etf_name: str) -> None:

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.operators import load, monitor
-from fundlens.session import materialize
 from fundlens.sources.files import as_price_table
 from fundlens.sources.landing import ARRIVAL, landing_files, list_files, parse_price_lines, price_lines
-from fundlens.sources.tables import read_loads, read_table, write_load
+from fundlens.sources.tables import read_loads, read_table, write_and_read, write_load
 
 
 def ticker_watermarks(spark: SparkSession, root: str, without: str | None = None) -> DataFrame:
@@ -26,11 +25,12 @@ def load_rows(spark: SparkSession, root: str, load_id: str, rows: DataFrame, wat
     the tables as the first run did. The run record comes last.
     """
     constituents = read_table(spark, root, "constituents")
-    rows = materialize(rows)
-    labelled = materialize(load.classify_landing(rows, watermarks, constituents, arrival=ARRIVAL))
+    rows = write_and_read(rows, root, "staged", load_id)
+    verdicts = load.classify_landing(rows, watermarks, constituents, arrival=ARRIVAL)
+    mismatch = F.coalesce((F.col("low") > F.col("close")) | (F.col("high") < F.col("close")), F.lit(False))
+    labelled = write_and_read(verdicts.withColumn("ohlc_mismatch", mismatch), root, "labelled", load_id)
     fresh = as_price_table(labelled.where(F.col("issue").isNull()).drop("issue"), constituents)
     write_load(_not_loaded(spark, root, load_id, fresh), root, "prices", load_id)
-    write_load(labelled.where(F.col("issue").isNotNull()), root, "rejects", load_id)
     write_load(next_watermarks(labelled, watermarks), root, "watermarks", load_id)
     passed = F.col("issue").isNull() | F.col("issue").isin("duplicate", "unknown_ticker")
     handled = labelled.groupBy("file").agg(
@@ -82,12 +82,17 @@ def run_incremental(
     pending = [r["path"] for r in waiting.select("path").collect()]
     if not pending:
         return spark.createDataFrame([], "files_processed bigint, files_skipped bigint, rows_inserted bigint, rows_dropped bigint, new_watermark date")
-    rows = parse_price_lines(price_lines(spark, pending))
+    rows = parse_price_lines(price_lines(spark, pending), len(pending))
     if dry_run:
         return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
     return load_rows(spark, root, load_id, rows, ticker_watermarks(spark, root, without=load_id))
 
 
+def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Every row that was not stored, with the reason and the load that read it."""
+    return read_loads(spark, root, "labelled").where(F.col("issue").isNotNull())
+
+
 def recent_runs(spark: SparkSession, root: str, n: int = 100) -> DataFrame:
     """The last n run records, newest first."""
     return read_loads(spark, root, "runs").orderBy(F.col("finished_at").desc(), F.col("load_id").desc()).limit(n)

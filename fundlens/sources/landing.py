@@ -6,7 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.schema import PRICE
+from fundlens.operators.joins import MAX_BROADCAST_ROWS
+from fundlens.schema import OHLCV, PRICE
 from fundlens.sources.files import FIELD_NAMES, null_if_missing
 
 REQUIRED = ("date", "ticker", "close")
@@ -29,46 +30,73 @@ def price_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return with_origin(reader.option("pathGlobFilter", "*.csv").csv(paths))
 
 
-def parse_price_lines(lines: DataFrame) -> DataFrame:
+def _typed(texts: DataFrame, fault: Column) -> DataFrame:
+    """Typed rows from the text columns _date, _ticker, _open, ...; a fault in the file or
+    in the date becomes the row's `issue`."""
+    def number(name: str, data_type: str) -> Column:
+        return F.expr(f"try_cast(`_{name}` AS {data_type})").alias(name)
+
+    date = F.expr("try_cast(_date AS DATE)")
+    return texts.select(
+        "file", "block", "row", date.alias("date"),
+        F.col("_ticker").alias("ticker"),
+        *[number(c, PRICE.simpleString()) for c in ("open", "high", "low", "close")],
+        F.expr("CAST(try_cast(_volume AS DECIMAL(20,2)) AS BIGINT)").alias("volume"),
+        fault.when(date.isNull(), "bad_date").alias("issue"),
+    )
+
+
+def parse_price_lines(lines: DataFrame, files: int | None = None) -> DataFrame:
     """Typed rows of price lines: file, block, row, date, ticker, OHLCV and `issue`.
 
     A header line is one that names all required columns. Rows of a file without
     one are `missing_columns`; a date that is none is `bad_date`. Optional columns
-    may be absent and give NULL.
+    may be absent and give NULL. `files` is an upper bound of the number of files, if
+    known; up to MAX_BROADCAST_ROWS of them the headers are broadcast to the rows.
     """
-    cells = F.array(*FIELD_NAMES)
-    lines = lines.withColumns({"cells": cells, "row": F.monotonically_increasing_id()})
+    lines = lines.withColumns({"cells": F.array(*FIELD_NAMES), "row": F.monotonically_increasing_id()})
     names = F.transform("cells", lambda c: F.lower(F.trim(c)))
     wanted = F.array(*[F.lit(c) for c in REQUIRED])
     is_header = F.size(F.array_intersect(names, wanted)) == len(REQUIRED)
     headers = lines.where(is_header).groupBy("file").agg(F.max(names).alias("names"))
+    if files is not None and files <= MAX_BROADCAST_ROWS:
+        headers = F.broadcast(headers)
     body = lines.where(~is_header).join(headers, "file", "left")
 
     def field(name: str) -> Column:
         at = F.array_position("names", F.lit(name)).cast("int")
-        return null_if_missing(F.trim(F.try_element_at("cells", F.when(at > 0, at))))
+        return null_if_missing(F.trim(F.try_element_at("cells", F.when(at > 0, at)))).alias(f"_{name}")
 
-    def number(name: str, data_type: str) -> Column:
-        return F.expr(f"try_cast(`_{name}` AS {data_type})").alias(name)
-
-    texts = body.select(
-        "file", "block", "row", F.col("names").isNull().alias("_headless"),
-        *[field(c).alias(f"_{c}") for c in ("date", "ticker", "open", "high", "low", "close", "volume")],
-    )
-    price = PRICE.simpleString()
-    rows = texts.select(
-        "file", "block", "row", "_headless",
-        F.expr("try_cast(_date AS DATE)").alias("date"),
-        F.col("_ticker").alias("ticker"),
-        *[number(c, price) for c in ("open", "high", "low", "close")],
-        F.expr("CAST(try_cast(_volume AS DECIMAL(20,2)) AS BIGINT)").alias("volume"),
-    )
-    issue = F.when(F.col("_headless"), "missing_columns").when(F.col("date").isNull(), "bad_date")
-    return rows.withColumn("issue", issue).drop("_headless")
+    texts = body.select("file", "block", "row", F.col("names").isNull().alias("_headless"), *map(field, OHLCV.names))
+    return _typed(texts, F.when(F.col("_headless"), "missing_columns"))
 
 
-# Order of two rows of one file.
+def price_file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows from price files that share one header, long or wide: columns by
+    name in one scan, which is what a whole history wants."""
+    raw = spark.read.option("header", True).csv(path)
+    by_name = {c.strip().lower(): c for c in raw.columns}
+    placed = raw.select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    if "ticker" not in by_name:
+        closes = [c for c in raw.columns if c != by_name["date"]]
+        placed = placed.unpivot(["file", "block", "row", by_name["date"]], closes, "ticker", "close").where("close IS NOT NULL")
+        by_name = {"date": by_name["date"], "ticker": "ticker", "close": "close"}
+    missing = [c for c in REQUIRED if c not in by_name]
+    if missing:
+        raise ValueError(f"price file lacks the columns {missing}")
+    texts = [
+        (null_if_missing(F.trim(F.col(f"`{by_name[c]}`"))) if c in by_name else F.lit(None).cast("string")).alias(f"_{c}")
+        for c in OHLCV.names
+    ]
+    return _typed(placed.select("file", "block", "row", *texts), F.when(F.lit(False), ""))
+
+
+# Order of two rows of one file, and of two rows of a set of files.
 ARRIVAL = ["block", "row"]
+ARRIVAL_OVER_FILES = ["file", *ARRIVAL]
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:

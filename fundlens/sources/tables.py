@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from fundlens import schema
 
 WATERMARKS = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("wm", T.DateType())])
-REJECTS = T.StructType([
-    T.StructField("file", T.StringType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("close", schema.PRICE),
-    T.StructField("issue", T.StringType()),
-])
+# Every row a load has read, with its place of origin; as parsed, and with the load's verdict in `issue`.
+STAGED = T.StructType(
+    [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("row", T.LongType())]
+    + schema.OHLCV.fields
+    + [T.StructField("issue", T.StringType())]
+)
+LABELLED = T.StructType(STAGED.fields + [T.StructField("ohlc_mismatch", T.BooleanType())])
 FILES = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("rows", T.LongType()),
@@ -44,7 +44,8 @@ SCHEMAS = {
     "etf_uploads": schema.ETF_UPLOADS,
     "etf_holdings": schema.ETF_HOLDINGS,
     "watermarks": WATERMARKS,
-    "rejects": REJECTS,
+    "staged": STAGED,
+    "labelled": LABELLED,
     "files": FILES,
     "runs": RUNS,
 }
@@ -90,6 +91,14 @@ def write_load(df: DataFrame, root: str, table: str, load_id: str) -> None:
     placed.write.mode("overwrite").partitionBy("month").parquet(path)
 
 
+def write_and_read(df: DataFrame, root: str, table: str, load_id: str) -> DataFrame:
+    """Write one load and go on from the written rows: short lineage, columnar reads,
+    and row numbers that no longer change."""
+    write_load(df, root, table, load_id)
+    spark = df.sparkSession
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{root}/{table}/load_id={load_id}")
+
+
 def drop_all(spark: SparkSession, root: str) -> None:
     """Empty every table, as a fresh load starts."""
     for table, columns in SCHEMAS.items():

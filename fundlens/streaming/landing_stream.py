@@ -45,7 +45,8 @@ def start_landing_stream(
     def load_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         load_id = batch_load_id(name, number)
-        load_rows(session, root, load_id, parse_price_lines(batch), _watermarks_before(session, root, name, number))
+        rows = parse_price_lines(batch, files_per_batch)
+        load_rows(session, root, load_id, rows, _watermarks_before(session, root, name, number))
 
     writer = lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)

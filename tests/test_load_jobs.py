@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fundlens.plans import incremental_load as inc
 from fundlens.plans.batch_load import run_batch_load
 from fundlens.plans.reports import market_reports, write_reports
-from fundlens.sources.tables import read_loads, read_table
+from fundlens.sources.tables import read_table
 from fundlens.streaming.landing_stream import start_landing_stream
 
 HEADER = "date,ticker,open,high,low,close,volume\n"
@@ -68,7 +68,7 @@ def test_batch_load(spark, source, loaded_once, root):
     stats = loaded_once[1]
     assert (stats.total_constituents, stats.total_price_records, stats.total_etf_uploads, stats.total_holdings) == (2, 4, 2, 2)
     assert stored(spark, root) == FIRST
-    rejects = {(r.ticker, r.issue) for r in read_table(spark, root, "rejects").collect()}
+    rejects = {(r.ticker, r.issue) for r in inc.rejected_rows(spark, root).collect()}
     assert rejects == {("AAPL", "duplicate"), ("XOM", "negative_close"), ("XOM", "null_close")}
     uploads = {r.filename: (r.id, float(r.total_weight), r.num_constituents) for r in read_table(spark, root, "etf_uploads").collect()}
     assert uploads == {"energy_etf.csv": (1, 1.0, 1), "tech_etf.csv": (2, 1.0, 2)}
@@ -110,7 +110,7 @@ def land(folder: Path, names=None):
 
 
 def rejected(spark, root):
-    loads = read_loads(spark, root, "rejects").where("load_id <> 'b1'")
+    loads = inc.rejected_rows(spark, root).where("load_id <> 'b1'")
     return {(r.ticker, str(r.date), r.issue) for r in loads.collect()}
 
 
