@@ -189,7 +189,7 @@ class Market:
 
     @cached_property
     def weight_rows(self) -> DataFrame:
-        """Weight files made of customers, one per market segment and nation, with natural faults."""
+        """Weight files made of customers, one per market segment, nation and 1,500 customers, with natural faults."""
         balance = F.col("c_acctbal").cast("decimal(18,2)")
         small = (F.abs(balance) * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,6)").cast("string")
         text = (
@@ -200,11 +200,20 @@ class Market:
         )
         named = ~balance.between(8900, 9100)
         return self.table("customer").select(
-            F.concat(F.lower("c_mktsegment"), F.lit("_"), F.col("c_nationkey").cast("string"), F.lit("_etf.csv")).alias("file"),
+            self._customer_file.alias("file"),
             F.when(named, self._customer_ticker).alias("name"),
             text.alias("weight_text"),
         )
 
+    @property
+    def _customer_group(self):
+        return F.floor(F.col("c_custkey") / 1500)
+
+    @property
+    def _customer_file(self):
+        parts = [F.lower("c_mktsegment"), F.col("c_nationkey").cast("string"), self._customer_group.cast("string"), F.lit("etf.csv")]
+        return F.concat_ws("_", *parts)
+
     @property
     def _customer_ticker(self):
         number = F.floor(F.col("c_custkey") / 14).cast("string")
@@ -213,8 +222,8 @@ class Market:
     @cached_property
     def loaded_weight_files(self) -> DataFrame:
         return self.table("customer").where("c_mktsegment = 'BUILDING'").select(
-            (F.col("c_nationkey") + 100).cast("bigint").alias("id"),
-            F.concat(F.lower("c_mktsegment"), F.lit("_"), F.col("c_nationkey").cast("string"), F.lit("_etf.csv")).alias("filename"),
+            (self._customer_group * 25 + F.col("c_nationkey") + 100).cast("bigint").alias("id"),
+            self._customer_file.alias("filename"),
         ).distinct()
 
     @cached_property

@@ -121,7 +121,7 @@ files AS (
 
 WEIGHTS = """
 weight_rows AS (
-  SELECT LOWER(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) || '_etf.csv' AS file,
+  SELECT LOWER(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) || '_' || CAST(c_custkey // 1500 AS VARCHAR) || '_etf.csv' AS file,
          CASE WHEN NOT bal BETWEEN 8900 AND 9100 THEN 'Supplier#' || LPAD(CAST(c_custkey // 14 AS VARCHAR), 9, '0') END AS name,
          CASE WHEN bal > 9700 THEN 'pending' WHEN bal > 9400 THEN NULL
               WHEN bal > 9100 OR bal < -700 THEN CAST(bal AS VARCHAR)
@@ -383,7 +383,7 @@ ORACLE: dict[str, str] = {
         UNION SELECT file FROM known WHERE constituent_id IS NOT NULL AND weight_text IS NULL
         UNION SELECT file FROM known WHERE constituent_id IS NOT NULL GROUP BY file, name HAVING COUNT(*) > 1),
       good AS (SELECT DISTINCT file FROM known WHERE file NOT IN (SELECT file FROM faults) AND file NOT LIKE 'building%'),
-      ids AS (SELECT file, ROW_NUMBER() OVER (ORDER BY file) + (SELECT MAX(c_nationkey) + 100 FROM customer WHERE c_mktsegment = 'BUILDING') AS etf_upload_id FROM good)""")
+      ids AS (SELECT file, ROW_NUMBER() OVER (ORDER BY file) + (SELECT MAX(c_custkey // 1500 * 25 + c_nationkey) + 100 FROM customer WHERE c_mktsegment = 'BUILDING') AS etf_upload_id FROM good)""")
     + """SELECT CAST(etf_upload_id AS BIGINT) AS etf_upload_id, constituent_id, CAST(w AS DOUBLE) AS weight
       FROM known JOIN ids USING (file) WHERE constituent_id IS NOT NULL""",
     "db_stats": _with(*_MARKET, HOLDINGS, UPLOADS) + """SELECT (SELECT COUNT(*) FROM constituents) AS total_constituents,
