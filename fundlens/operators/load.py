@@ -15,22 +15,33 @@ def high_watermark(prices: DataFrame, by: str = "constituent_id") -> DataFrame:
     return prices.groupBy(by).agg(F.max("date").alias("wm"))
 
 
-def file_floors(rows: DataFrame, watermarks: DataFrame, file: str = "file") -> DataFrame:
-    """For every (ticker, file): the date a row must exceed to be admitted.
+def day_verdicts(
+    rows: DataFrame,
+    watermarks: DataFrame,
+    universe: DataFrame | None = None,
+    file: str = "file",
+    arrival: list[str] | None = None,
+) -> DataFrame:
+    """What decides about the rows of each (ticker, date, file): `floor`, `last`, `known`.
 
     Handling files one by one moves a ticker's watermark to the newest valid date
     seen so far. Rows dropped on the way never raise it, so the floor of a file is
     the larger of the loaded watermark and the newest valid date of the earlier
-    files. Rows shrink to one per (ticker, file) before the window, whose groups
-    are then bounded by the number of files.
+    files. `last` is the arrival of the row that wins among copies. Valid rows first
+    shrink to one per (ticker, date, file) in the map tasks, so a ticker's window
+    group is bounded by days times files and not by its rows.
     """
-    newest = rows.where(F.col("issue").isNull()).groupBy("ticker", file).agg(F.max("date").alias("_newest"))
-    earlier = Window.partitionBy("ticker").orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        newest.withColumn("_earlier", F.max("_newest").over(earlier))
-        .join(watermarks.select("ticker", "wm"), "ticker", "left")
-        .select("ticker", file, F.greatest("_earlier", "wm").alias("floor"))
-    )
+    winner = F.max(F.struct(*arrival)) if arrival else F.lit(None)
+    days = rows.where(F.col("issue").isNull()).groupBy("ticker", "date", file).agg(winner.alias("last"))
+    place = Window.partitionBy("ticker").orderBy(file)
+    earlier = Window.partitionBy("ticker").orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
+    placed = days.withColumn("_place", F.dense_rank().over(place)).withColumn("_newest", F.max("date").over(earlier))
+    out = placed.join(watermarks.select("ticker", "wm"), "ticker", "left")
+    known = F.lit(True)
+    if universe is not None:
+        out = out.join(universe.select("ticker", F.lit(True).alias("_in")), "ticker", "left")
+        known = F.col("_in").isNotNull()
+    return out.select("ticker", "date", file, F.greatest("_newest", "wm").alias("floor"), "last", known.alias("known"))
 
 
 def classify_landing(
@@ -45,34 +56,21 @@ def classify_landing(
     `rows` has ticker, date, close and the file it came in, in an order that sorts
     like the arrival of the files. It may bring an `issue` of its own from parsing.
     With `arrival`, rows of one (ticker, date) in one file keep the last and label
-    the others; with `universe`, rows of tickers it lacks are labelled too.
+    the others; with `universe`, rows of tickers it lacks are labelled too. Rows meet
+    their verdict on (ticker, date, file), which spreads a ticker with very many rows.
     """
     parsed = F.col("issue") if "issue" in rows.columns else F.lit(None).cast("string")
     labelled = label_price_rows(rows.withColumn("_parsed", parsed), allow_zero=False)
     labelled = labelled.withColumn("issue", F.coalesce("_parsed", "issue")).drop("_parsed")
-    # One join brings a row its floor and whether its ticker is known: rows are many,
-    # and one ticker may have a large part of them.
-    floors = file_floors(labelled, watermarks, file).withColumn("_known", F.lit(True))
-    if universe is not None:
-        known = universe.select("ticker", F.lit(True).alias("_known"))
-        floors = floors.drop("_known").join(known, "ticker", "left")
-    stale = F.col("date") <= F.col("floor")
-    out = (
-        labelled.join(floors, ["ticker", file], "left")
-        .withColumn("issue", F.coalesce("issue", F.when(stale, "at_or_below_watermark")))
-        .drop("floor")
+    verdicts = day_verdicts(labelled, watermarks, universe, file, arrival)
+    issue = F.coalesce(
+        "issue",
+        F.when(F.col("date") <= F.col("floor"), "at_or_below_watermark"),
+        *([F.when(F.struct(*arrival) != F.col("last"), "duplicate")] if arrival else []),
+        F.when(~F.coalesce("known", F.lit(False)), "unknown_ticker"),
     )
-    if arrival:
-        key = ["ticker", "date", file]
-        fresh = out.where(F.col("issue").isNull()).select(*key, *arrival)
-        last = dedup_last(fresh, key, arrival).withColumn("_last", F.lit(True))
-        out = (
-            out.join(last, [*key, *arrival], "left")
-            .withColumn("issue", F.coalesce("issue", F.when(F.col("_last").isNull(), "duplicate")))
-            .drop("_last")
-        )
-    unknown = F.when(F.col("_known").isNull(), "unknown_ticker")
-    return out.withColumn("issue", F.coalesce("issue", unknown)).drop("_known")
+    joined = labelled.join(verdicts, ["ticker", "date", file], "left")
+    return joined.withColumn("issue", issue).drop("floor", "last", "known")
 
 
 def admit_new_rows(rows: DataFrame, watermarks: DataFrame, file: str = "file") -> DataFrame:
