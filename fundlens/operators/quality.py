@@ -20,9 +20,11 @@ def label_price_rows(raw: DataFrame, allow_zero: bool = True, close: str = "clos
 
 def dedup_last(df: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
     """One row per key, the last by arrival order. An aggregation, so copies of a hot
-    key shrink in every map task before the shuffle; a window would gather them all."""
+    key shrink in every map task before the shuffle; a window would gather them all.
+    Arrival columns are distinct per key; where not, the other columns break the tie."""
     rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*arrival)).alias("_last"))
+    placed = F.struct(*arrival, *[c for c in rest if c not in arrival])
+    last = df.groupBy(*keys).agg(F.max(placed).alias("_last"))
     return last.select(*keys, "_last.*").select(*df.columns)
 
 

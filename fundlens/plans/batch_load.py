@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.operators import load, monitor, quality
-from fundlens.session import materialize
 from fundlens.sources import files
 from fundlens.sources.landing import ARRIVAL_OVER_FILES, price_file_rows
 from fundlens.sources.tables import drop_all, read_table, write_and_read, write_load
@@ -47,7 +46,7 @@ def load_dimension(spark, source, root, load_id, raw: DataFrame | None) -> None:
         if raw is None:
             return
         listed = files.tickers_of(raw.where(F.col("ticker").isNotNull()))
-    numbered = materialize(listed.withColumn("row", F.monotonically_increasing_id()))
+    numbered = listed.withColumn("row", F.monotonically_increasing_id())
     existing = read_table(spark, root, "constituents", without=load_id)
     write_load(load.upsert_constituents(existing, numbered, ["row"]), root, "constituents", load_id)
 
@@ -71,7 +70,5 @@ def load_weights(spark, source, root, load_id, etf_name: str) -> None:
     rows, _ = files.parse_weight_files(files.weight_files(spark, source, etf_name))
     constituents = read_table(spark, root, "constituents")
     headers, holdings = load.load_portfolios(rows, constituents, read_table(spark, root, "etf_uploads", without=load_id))
-    headers = materialize(headers.withColumn("uploaded_at", F.current_timestamp()))
-    holdings = materialize(holdings)
-    write_load(headers, root, "etf_uploads", load_id)
+    write_load(headers.withColumn("uploaded_at", F.current_timestamp()), root, "etf_uploads", load_id)
     write_load(holdings, root, "etf_holdings", load_id)

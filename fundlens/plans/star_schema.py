@@ -58,10 +58,10 @@ class Market:
         security with very many trades reaches the shuffle as few rows per task and day."""
         order = F.struct(*TRADE_ORDER)
         return self.trades.groupBy("constituent_id", "date").agg(
-            F.min_by("px", order).alias("open_price"),
+            F.min(order)["px"].alias("open_price"),
             F.max("px").alias("high_price"),
             F.min("px").alias("low_price"),
-            F.max_by("px", order).alias("close_price"),
+            F.max(order)["px"].alias("close_price"),
             F.sum("qty").alias("volume"),
         )
 

@@ -21,7 +21,7 @@ def vendor_slice(bars: DataFrame, tickers: list[str] | DataFrame, start, end, by
     for a list; a frame of tickers becomes a semi join."""
     inside = bars.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     if isinstance(tickers, DataFrame):
-        return inside.join(tickers.select(by).distinct(), by, "left_semi")
+        return inside.join(tickers.select(by), by, "left_semi")
     return inside.where(F.col(by).isin(list(tickers)))
 
 

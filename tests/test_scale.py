@@ -121,7 +121,7 @@ def test_hot_rows_shrink_before_they_travel(spark, skewed):
     last = quality.dedup_last(skewed, ["ticker", "date"], ["n"])
     assert last.count() == skewed.select("ticker", "date").distinct().count()
     text = plan(last)
-    assert text.index("Exchange hash") < text.index("partial_max_by")  # the partial step is below the exchange
+    assert text.index("Exchange hash") < text.index("partial_max")  # the partial step is below the exchange
     verdicts = load.day_verdicts(skewed.withColumn("issue", F.lit(None).cast("string")),
                                  spark.createDataFrame([], "ticker string, wm date"), arrival=["n"])
     per_ticker = verdicts.groupBy("ticker").count().agg(F.max("count")).first()[0]

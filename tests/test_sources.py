@@ -74,6 +74,36 @@ def test_file_level_rules(spark, tmp_path):
     assert ("good.csv", "bad_content_type") in {(r.file, r.rule) for r in files.file_issues(typed).collect()}
 
 
+def test_upload_rules_in_order(spark, tmp_path):
+    from fundlens.plans.weight_check import check_weight_folder
+
+    texts = {
+        "ok.csv": "ticker,weight\nAAPL,0.30\nMSFT,0.25\nGOOGL,0.25\nAMZN,0.20\n",
+        "case.csv": "Ticker,Weight\nAAPL,0.5\nMSFT,0.5\n",
+        "warn.csv": "ticker,weight\nAAPL,0.50\nMSFT,0.20\n",
+        "empty.csv": "",
+        "columns.csv": "foo,pct\nAAPL,0.5\n",
+        "header_only.csv": "ticker,weight\n",
+        "negative.csv": "ticker,weight\nAAPL,-0.5\n",
+        "percent.csv": "ticker,weight\nAAPL,50\n",
+        "twice.csv": "ticker,weight\nAAPL,0.3\nAAPL,0.7\n",
+        "unknown.csv": "ticker,weight\nZZZZZ,0.5\n",
+        "zero.csv": "ticker,weight\nAAPL,0\nMSFT,0\n",
+        "weights.txt": "ticker,weight\nAAPL,1\n",
+    }
+    for name, text in texts.items():
+        put(tmp_path, name, text)
+    universe = spark.createDataFrame([(t,) for t in ("AAPL", "MSFT", "GOOGL", "AMZN")], "ticker string")
+    found = check_weight_folder(spark, str(tmp_path), universe).collect()
+    assert {r.file: r.rule for r in found if r.is_first} == {
+        "empty.csv": "empty_file", "columns.csv": "missing_columns", "header_only.csv": "no_rows", "negative.csv": "negative_weight",
+        "percent.csv": "weight_over_one", "twice.csv": "duplicate_name", "unknown.csv": "unknown_ticker", "zero.csv": "all_zero",
+        "weights.txt": "not_csv",
+    }
+    assert {(r.file, r.rule) for r in found if r.severity == "warning"} == {
+        ("warn.csv", "sum_not_one"), ("unknown.csv", "sum_not_one"), ("percent.csv", "sum_not_one")}
+
+
 def test_landing_files_are_read_by_header(spark, tmp_path):
     put(tmp_path, "a.csv", "date,ticker,open,high,low,close,volume\n2026-01-01,A,1,2,0.5,1.5,100.0\n2026-13-01,A,1,2,1,1,1\n")
     put(tmp_path, "b.csv", "close,ticker,date\n2.005,B,2026-01-02\nNaN,B,2026-01-03\n")
