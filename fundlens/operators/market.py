@@ -24,6 +24,24 @@ def with_names(df: DataFrame, constituents: DataFrame, *columns: str, by: str =
     return df.join(dim, by)
 
 
+def only_ticker(df: DataFrame, constituents: DataFrame, ticker: str, by: str = KEY) -> DataFrame:
+    """Rows of one security, named in any case; none for an unknown ticker. Tickers are
+    unique, so the broadcast side has at most one row."""
+    chosen = constituents.where(F.col("ticker") == F.upper(F.trim(F.lit(ticker)))).select(F.col("id").alias(by))
+    return df.join(F.broadcast(chosen.limit(1)), by, "left_semi")
+
+
+def pairs_of(tickers: list[tuple[str, str]], constituents: DataFrame) -> DataFrame:
+    """Pair list by key from ticker pairs; a pair with an unknown ticker is left out."""
+    named = constituents.sparkSession.createDataFrame(
+        [(a.upper(), b.upper()) for a, b in tickers], "ticker_a string, ticker_b string"
+    )
+    a = constituents.select(F.col("ticker").alias("ticker_a"), F.col("id").alias("key_a"))
+    b = constituents.select(F.col("ticker").alias("ticker_b"), F.col("id").alias("key_b"))
+    # The list is a driver-side literal and each ticker has one id.
+    return F.broadcast(F.broadcast(named).join(a, "ticker_a")).join(b, "ticker_b")
+
+
 def price_summary(prices: DataFrame, constituents: DataFrame) -> DataFrame:
     close = F.col("close_price")
     stats = prices.groupBy(KEY).agg(

@@ -137,6 +137,18 @@ def test_pairs(spark):
     assert values(market.price_correlation(p, pairs), "key_a", "key_b", "common_days", "corr") == [[1, 2, 3, 1.0], [1, 3, 4, None]]
 
 
+def test_tickers_by_name(spark):
+    p = prices(spark, {1: [1, 2], 2: [3, 4]})
+    c = constituents(spark, (1, "AAPL", "T"), (2, "XOM", "T"))
+    assert values(market.only_ticker(p, c, " aapl"), "close_price") == [[1.0], [2.0]]
+    assert market.only_ticker(p, c, "ZZZ").count() == 0
+    found = market.pairs_of([("aapl", "XOM"), ("TSLA", "F")], c)
+    assert values(found, "key_a", "key_b", "ticker_a") == [[1, 2, "AAPL"]]
+    from fundlens.plans.reports import CORRELATION_PAIRS, correlations
+
+    assert values(correlations(p, c, CORRELATION_PAIRS), "ticker_a", "ticker_b", "common_days", "corr") == [["AAPL", "XOM", 2, 1.0]]
+
+
 def test_one_full_holding_reproduces_its_close(spark):
     p = prices(spark, {1: [10.05, 11.15, 12.25], 2: [5, None, 7]})
     h = holdings(spark, (1, 1, 1), (2, 1, 0.5), (2, 2, 0.5))
