@@ -49,7 +49,7 @@ def wide_to_long(wide: DataFrame, date_column: str = "DATE") -> DataFrame:
     closes = wide.select(
         F.col(date_column).cast("date").alias("date"), *[F.col(f"`{t}`").cast(schema.PRICE).alias(t) for t in tickers]
     )
-    return closes.unpivot(["date"], tickers, "ticker", "close").where(F.col("close").isNotNull())
+    return closes.unpivot(["date"], [F.col(f"`{t}`") for t in tickers], "ticker", "close").where(F.col("close").isNotNull())
 
 
 def as_price_table(long: DataFrame, constituents: DataFrame | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def price_file_rows(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
     )
     if "ticker" not in by_name:
-        closes = [c for c in raw.columns if c != by_name["date"]]
+        closes = [F.col(f"`{c}`") for c in raw.columns if c != by_name["date"]]
         placed = placed.unpivot(["file", "block", "row", by_name["date"]], closes, "ticker", "close").where("close IS NOT NULL")
         by_name = {"date": by_name["date"], "ticker": "ticker", "close": "close"}
     missing = [c for c in REQUIRED if c not in by_name]

@@ -26,8 +26,8 @@ def start_landing_stream(
     A micro-batch is load <name>-<batch number>. It reads the watermark snapshot of
     the batch before it (the first one: the price table) and overwrites its own
     folders, so a batch that Spark replays after a failure changes nothing. `name`
-    belongs to the checkpoint: a new checkpoint needs a new name. Files come in order
-    of modification time. With `archive`, Spark moves files there once they are done.
+    belongs to the checkpoint: a new checkpoint needs a new name. Between its batches
+    the stream is the only writer of prices. Files come in order of modification time. With `archive`, Spark moves files there once they are done.
     """
     require_loaded(spark, root)
     _check_name(spark, root, checkpoint, name)
@@ -58,10 +58,13 @@ def batch_load_id(name: str, number: int) -> str:
 
 
 def _watermarks_before(spark: SparkSession, root: str, name: str, number: int) -> DataFrame:
+    """Snapshot of the previous batch; the price table for the first batch, and where a
+    fresh load has emptied the tables since."""
     if number > 0:
         previous = read_loads(spark, root, "watermarks").where(F.col("load_id") == batch_load_id(name, number - 1))
-        return previous.select("ticker", "wm")
-    return ticker_watermarks(spark, root, without=batch_load_id(name, 0))
+        if previous.take(1):
+            return previous.select("ticker", "wm")
+    return ticker_watermarks(spark, root, without=batch_load_id(name, number))
 
 
 def _check_name(spark: SparkSession, root: str, checkpoint: str, name: str) -> None:

@@ -25,9 +25,9 @@ def test_long_prices(spark, tmp_path):
 
 
 def test_wide_prices_become_long(spark, tmp_path):
-    path = put(tmp_path, "prices.csv", "DATE,A,B\n2020-01-02,1.5,\n2020-01-03,1.6,2.25\n")
+    path = put(tmp_path, "prices.csv", "DATE,A,BRK.B\n2020-01-02,1.5,\n2020-01-03,1.6,2.25\n")
     rows = {(str(r.date), r.ticker, float(r.close)) for r in files.read_prices(spark, path).collect()}
-    assert rows == {("2020-01-02", "A", 1.5), ("2020-01-03", "A", 1.6), ("2020-01-03", "B", 2.25)}
+    assert rows == {("2020-01-02", "A", 1.5), ("2020-01-03", "A", 1.6), ("2020-01-03", "BRK.B", 2.25)}
 
 
 def test_absent_constituents(spark, tmp_path):
@@ -124,14 +124,14 @@ def test_landing_files_are_read_by_header(spark, tmp_path):
 
 def test_history_by_name(spark, tmp_path):
     put(tmp_path, "long.csv", "Ticker,date,close\nA,2020-01-02,1.005\nA,never,2\n")
-    put(tmp_path, "wide.csv", "DATE,A,B\n2020-01-02,1.5,\n2020-01-03,1.6,2.25\n")
+    put(tmp_path, "wide.csv", "DATE,A,BRK.B\n2020-01-02,1.5,\n2020-01-03,1.6,2.25\n")
     put(tmp_path, "bad.csv", "ticker,price\nA,1\n")
     long = landing.price_file_rows(spark, str(tmp_path / "long.csv")).orderBy("row").collect()
     assert [(r.ticker, str(r.date), str(r.close), r.volume, r.issue) for r in long] == [
         ("A", "2020-01-02", "1.01", None, None), ("A", "None", "2.00", None, "bad_date")]
     wide = landing.price_file_rows(spark, str(tmp_path / "wide.csv")).collect()
     assert {(r.ticker, str(r.date), str(r.close)) for r in wide} == {
-        ("A", "2020-01-02", "1.50"), ("A", "2020-01-03", "1.60"), ("B", "2020-01-03", "2.25")}
+        ("A", "2020-01-02", "1.50"), ("A", "2020-01-03", "1.60"), ("BRK.B", "2020-01-03", "2.25")}
     with pytest.raises(ValueError, match="lacks"):
         landing.price_file_rows(spark, str(tmp_path / "bad.csv"))
 
