@@ -17,14 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
-    """Select columns by exact name; other columns, whatever their names, cannot clash.
+def tagged(df: DataFrame, **names: str) -> DataFrame:
+    """The columns of df as _0, _1, ... plus new=old columns; no name of df's can clash.
 
-    A name that repeats means its first column. `new=old` renames.
+    A name that repeats means its first column. `untagged` gives the old columns back.
     """
-    wanted = {**{n: n for n in names}, **renamed}
     fresh = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
-    return fresh.select(*(fresh[f"_{df.columns.index(old)}"].alias(new) for new, old in wanted.items()))
+    return fresh.select("*", *(fresh[f"_{df.columns.index(old)}"].alias(new) for new, old in names.items()))
+
+
+def untagged(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*(f"_{i}" for i in range(len(like.columns)))).toDF(*like.columns)
+
+
+def pick(df: DataFrame, **names: str) -> DataFrame:
+    """Only the columns new=old of df."""
+    return tagged(df, **names).select(*names)
 
 
 def per_worker(key, build: Callable):

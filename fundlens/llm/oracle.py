@@ -1,3 +1,40 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+OP2 = """
+WITH d AS (
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([3, 1, 2][(rank - 1) % 3 + 1] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS cap,
+         1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE) AS wanted
+  FROM s
+), o AS (
+  SELECT *, weight * (wanted - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) > cap AS above
+  FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN above THEN cap ELSE
+         weight * (wanted - coalesce(sum(cap) FILTER (above) OVER (), 0)) / sum(weight) FILTER (NOT above) OVER () END AS target
+  FROM o
+), g AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target / source_size) AS BIGINT) END AS whole FROM t
+), u AS (
+  SELECT source, place, size, sum(size) AS words FROM d GROUP BY ALL
+), r AS (
+  SELECT source, place, size, words / 2 + coalesce(sum(words) OVER (PARTITION BY source ORDER BY place, size
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS middle
+  FROM u
+)
+SELECT d.doc_id, d.size, g.source_size, g.target, d.size * copies AS taken, copies FROM (
+  SELECT d.*, g.whole + CASE WHEN r.middle <= g.target - g.whole * g.source_size THEN 1 ELSE 0 END AS copies
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+  JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.place = r.place AND d.size = r.size) d
+JOIN g ON d.source IS NOT DISTINCT FROM g.source
+"""
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2}
