@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, mixing, token_counts
+from fundlens.llm import byte_bpe, mixing, sharding, token_counts
 from fundlens.llm.common import table
 
 
@@ -23,8 +23,13 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path("byte_bpe_multi_50k.tiktoken"))
 
 
+def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_mixing": mixing_query,
     "op6_byte_bpe": byte_bpe_query,
+    "op7_sharding": sharding_query,
 }
