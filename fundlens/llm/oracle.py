@@ -37,4 +37,18 @@ SELECT d.doc_id, d.size, g.source_size, g.target, d.size * copies AS taken, copi
 JOIN g ON d.source IS NOT DISTINCT FROM g.source
 """
 
-ORACLE: dict[str, str] = {"op2_mixing": OP2}
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w::DOUBLE[], c.w::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_exact_top_k": OP3}

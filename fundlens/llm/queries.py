@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, mixing, sharding, token_counts
+from fundlens.llm import byte_bpe, mixing, multi_index, segment_topk, sharding, token_counts
 from fundlens.llm.common import table
 
 
@@ -27,9 +27,19 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def exact_top_k_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_mixing": mixing_query,
+    "op3_exact_top_k": exact_top_k_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_sharding": sharding_query,
+    "op10_neighbours": neighbours_query,
 }
