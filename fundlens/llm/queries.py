@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, mixing, multi_index, segment_topk, sharding, token_counts
+from fundlens.llm import byte_bpe, language_id, mixing, multi_index, segment_topk, sharding, token_counts
 from fundlens.llm.common import table
 
 
@@ -31,6 +31,10 @@ def exact_top_k_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -41,5 +45,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_top_k": exact_top_k_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_sharding": sharding_query,
+    "op9_language_id": language_id_query,
     "op10_neighbours": neighbours_query,
 }
