@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, language_id, mixing, multi_index, segment_topk, sharding, token_counts
+from fundlens.llm import byte_bpe, language_id, mixing, multi_index, secret_scan, segment_topk, sharding, token_counts
 from fundlens.llm.common import table
 
 
@@ -35,6 +35,10 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_mixing": mixing_query,
     "op3_exact_top_k": exact_top_k_query,
+    "op4_secret_scan": secret_scan_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_sharding": sharding_query,
     "op9_language_id": language_id_query,

@@ -87,7 +87,7 @@ def test_odd_rows(spark, odd_documents):
     assert len(rows) == odd_documents.count()
     by = {r.doc_id: r for r in rows}
     assert [by[i].lang_pred for i in (1, 2, 8)] == ["und"] * 3 and by[1].score == 0.0
-    assert by[4].lang_pred == "en" or not by[4].held_out
+    assert all(by[i].lang_pred in {"en", "de", "fr", "es"} for i in (3, 4, 5, 6, 7, None))
     assert language_id.identify(odd_documents.limit(0)).count() == 0
     unlabelled = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in language_id.identify(unlabelled).collect()] == ["und"]
