@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, language_id, mixing, multi_index, secret_scan, segment_topk, sharding, token_counts
+from fundlens.llm import byte_bpe, language_id, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, token_counts
 from fundlens.llm.common import table
 
 
@@ -39,6 +39,10 @@ def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def shingle_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join(table(spark, sf_dir, "documents"))
+
+
 def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": secret_scan_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_sharding": sharding_query,
+    "op8_shingle_join": shingle_join_query,
     "op9_language_id": language_id_query,
     "op10_neighbours": neighbours_query,
 }
