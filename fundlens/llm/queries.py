@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, language_id, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, token_counts
+from fundlens.llm import byte_bpe, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, token_counts
 from fundlens.llm.common import table
 
 
@@ -43,6 +43,10 @@ def shingle_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join(table(spark, sf_dir, "documents"))
 
 
+def log_bilinear_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score(table(spark, sf_dir, "documents"))
+
+
 def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing_query,
     "op3_exact_top_k": exact_top_k_query,
     "op4_secret_scan": secret_scan_query,
+    "op5_log_bilinear": log_bilinear_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_sharding": sharding_query,
     "op8_shingle_join": shingle_join_query,
