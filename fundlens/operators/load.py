@@ -190,14 +190,13 @@ def load_portfolios(
 
 
 def feed_first_n_days(vendor: DataFrame, loaded: DataFrame, n: int = 1) -> DataFrame:
-    """Vendor rows of the first n distinct days after the last loaded date.
+    """Vendor rows of the first n distinct days after the last loaded date, however far off.
 
-    Like the daily feed, it looks at most int(1.5 n) + 6 calendar days ahead. That
-    also bounds the day list, which is why it may be broadcast.
+    The day list has n rows, so it may be broadcast.
     """
     if n < 1:
         raise ValueError(f"n must be at least 1, got {n}")
     last = loaded.agg(F.max("date")).scalar()
-    ahead = vendor.where((F.col("date") > last) & (F.col("date") <= F.date_add(last, int(n * 1.5) + 6)))
+    ahead = vendor.where(F.col("date") > last)
     days = ahead.select("date").distinct().orderBy("date").limit(n)
     return ahead.join(F.broadcast(days), "date", "left_semi")

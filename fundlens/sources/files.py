@@ -14,13 +14,31 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Upload limits of a weight file.
+# Upload limits of a weight file (fixed values).
 MAX_WEIGHT_FILE_BYTES = 1024 * 1024
 WEIGHT_CONTENT_TYPES = ("text/csv", "application/csv", "application/vnd.ms-excel", "text/plain")
 
-# Most fields a line may have in files whose column order is not known beforehand.
-MAX_FIELDS = 16
-FIELD_NAMES = [f"c{i}" for i in range(MAX_FIELDS)]
+# A comma and the field after it; a quoted field may hold commas and doubled quotes.
+_FIELD = r',("(?:[^"]++|"")*+"|[^,]*)'
+
+
+def cells(line: Column) -> Column:
+    """The fields of a CSV line, any number of them. An empty line is one empty field."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    inner = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(fields, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inner(c)).otherwise(c))
+
+
+def text_lines(reader, paths) -> DataFrame:
+    """Non-empty lines of text files with their origin: value, file, block, row.
+
+    file is the path; block and row order the lines of one file. `reader` is a batch or
+    streaming reader with its options set.
+    """
+    lines = reader.format("text").load(paths)
+    return lines.where(F.length(F.trim("value")) > 0).select(
+        F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def null_if_missing(text: Column) -> Column:
@@ -121,39 +139,45 @@ def file_issues(files: DataFrame) -> DataFrame:
 
 
 def parse_weight_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`weight_rows` of an upload folder's binaryFile listing; uploads have at most 1 MB,
+    so a file is one record here."""
+    usable = files.where((F.col("length") > 0) & (F.col("length") <= MAX_WEIGHT_FILE_BYTES))
+    text = F.regexp_replace(F.decode("content", "UTF-8"), "^\\x{FEFF}", "")
+    opened = usable.where(F.is_valid_utf8(F.col("content"))).select(
+        "file", F.lit(0).cast("long").alias("block"), F.posexplode(F.split(text, "\r\n|\n|\r")).alias("row", "value"))
+    # a file of empty lines only still has a header, an empty one
+    return weight_rows(opened.where((F.length(F.trim("value")) > 0) | (F.col("row") == 0)))
+
+
+def weight_lines(spark: SparkSession, path: str, name_part: str = "") -> DataFrame:
+    """Lines of the weight files below a folder, whatever their size; `file` is the name."""
+    reader = spark.read.option("pathGlobFilter", f"*{name_part}*etf*.csv")
+    lines = text_lines(reader, path).withColumn("row", F.monotonically_increasing_id())
+    named = lines.withColumn("file", F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B"))))
+    return named.where(~F.lower("file").contains("prices") & ~F.lower("file").contains("constituents"))
+
+
+def weight_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, headers) of weight files in one job, whatever the column order of each.
 
-    rows: file, row, name, weight_text. headers: file, missing (required columns the
-    header lacks). Headers are trimmed and lower-cased; `ticker` stands in for
-    `name`. A file is one record here, which its size limit of 1 MB makes safe.
+    lines: file, block, row, value. rows: file, row, name, weight_text. headers: file, missing
+    (required columns the header lacks). The first line of a file is its header; its names are
+    trimmed and lower-cased, and `ticker` stands in for `name`. Lines may be spread over
+    tasks; only one line per file is gathered to find the headers.
     """
-    usable = files.where((F.col("length") > 0) & (F.col("length") <= MAX_WEIGHT_FILE_BYTES))
-    text = F.regexp_replace(F.decode("content", "UTF-8"), "^\\x{FEFF}", "")
-    lines = F.filter(F.split(text, "\r\n|\n|\r"), lambda line: F.length(F.trim(line)) > 0)
-    line_type = ", ".join(f"{c} string" for c in FIELD_NAMES)
-
-    def cells(line: Column) -> Column:
-        parsed = F.from_csv(line, line_type)
-        return F.array(*[parsed[c] for c in FIELD_NAMES])
-
-    opened = usable.where(F.is_valid_utf8(F.col("content"))).select("file", lines.alias("lines"))
-    headed = opened.withColumn("head", cells(F.coalesce(F.try_element_at("lines", F.lit(1)), F.lit(""))))
-    headed = headed.withColumn("head", F.transform("head", lambda c: F.lower(F.trim(c))))
-    name_at = F.array_position("head", F.lit("name"))
-    ticker_at = F.array_position("head", F.lit("ticker"))
-    placed = headed.select(
-        "file", "lines",
-        F.coalesce(F.when(name_at > 0, name_at), F.when(ticker_at > 0, ticker_at)).cast("int").alias("name_at"),
-        F.expr("nullif(array_position(head, 'weight'), 0)").cast("int").alias("weight_at"),
-    )
+    place = F.struct("block", "row")
+    headed = lines.groupBy("file").agg(F.min(F.struct("block", "row", "value")).alias("first"))
+    head = F.transform(cells(F.col("first.value")), lambda c: F.lower(F.trim(c)))
+    at = lambda name: F.nullif(F.array_position("head", F.lit(name)), F.lit(0).cast("long")).cast("int")
+    placed = headed.withColumn("head", head).select(
+        "file", F.struct("first.block", "first.row").alias("first"), F.coalesce(at("name"), at("ticker")).alias("name_at"),
+        at("weight").alias("weight_at"))
     missing = F.array_compact(F.array(
         F.when(F.col("name_at").isNull(), F.lit("name")), F.when(F.col("weight_at").isNull(), F.lit("weight"))
     ))
     headers = placed.select("file", missing.alias("missing"))
-    body = placed.where(F.size(missing) == 0).select(
-        "file", "name_at", "weight_at", F.posexplode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("row", "line")
-    )
-    values = body.withColumn("cells", cells(F.col("line")))
+    body = lines.join(placed.where(F.size(missing) == 0), "file").where(place > F.col("first"))
+    values = body.withColumn("cells", cells(F.col("value")))
     rows = values.select(
         "file", "row",
         null_if_missing(F.try_element_at("cells", F.col("name_at"))).alias("name"),

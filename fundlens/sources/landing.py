@@ -8,26 +8,14 @@ from pyspark.sql import functions as F
 
 from fundlens.operators.joins import MAX_BROADCAST_ROWS
 from fundlens.schema import OHLCV, PRICE
-from fundlens.sources.files import FIELD_NAMES, null_if_missing
+from fundlens.sources.files import cells, null_if_missing, text_lines
 
 REQUIRED = ("date", "ticker", "close")
 
-# Lines are read by position, header line included, because the columns are known per file only.
-LINE_SCHEMA = ", ".join(f"{c} string" for c in FIELD_NAMES)
-
-
-def with_origin(lines: DataFrame) -> DataFrame:
-    """Add the file's path and the line's place in it: block offset, then position."""
-    return lines.select(
-        *FIELD_NAMES,
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-
 
 def price_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    reader = spark.read.schema(LINE_SCHEMA).option("header", False).option("recursiveFileLookup", True)
-    return with_origin(reader.option("pathGlobFilter", "*.csv").csv(paths))
+    """Lines as text, header line included, because the columns are known per file only."""
+    return text_lines(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"), paths)
 
 
 def _typed(texts: DataFrame, fault: Column) -> DataFrame:
@@ -49,26 +37,32 @@ def _typed(texts: DataFrame, fault: Column) -> DataFrame:
 def parse_price_lines(lines: DataFrame, files: int | None = None) -> DataFrame:
     """Typed rows of price lines: file, block, row, date, ticker, OHLCV and `issue`.
 
-    A header line is one that names all required columns. Rows of a file without
-    one are `missing_columns`; a date that is none is `bad_date`. Optional columns
-    may be absent and give NULL. `files` is an upper bound of the number of files, if
+    A header line is one that names all required columns. In a file without one the first
+    line counts as header, and its rows are `missing_columns`; a date that is none is
+    `bad_date`; a row with more fields than the header, other than empty ones, is
+    `too_many_fields`. Optional columns may be absent and give NULL. `files` is an upper bound of the number of files, if
     known; up to MAX_BROADCAST_ROWS of them the headers are broadcast to the rows.
     """
-    lines = lines.withColumns({"cells": F.array(*FIELD_NAMES), "row": F.monotonically_increasing_id()})
+    lines = lines.withColumns({"cells": cells(F.col("value")), "row": F.monotonically_increasing_id()})
     names = F.transform("cells", lambda c: F.lower(F.trim(c)))
     wanted = F.array(*[F.lit(c) for c in REQUIRED])
     is_header = F.size(F.array_intersect(names, wanted)) == len(REQUIRED)
-    headers = lines.where(is_header).groupBy("file").agg(F.max(names).alias("names"))
+    headers = lines.groupBy("file").agg(
+        F.max(F.when(is_header, names)).alias("names"), F.min(F.struct("block", "row")).alias("first"))
     if files is not None and files <= MAX_BROADCAST_ROWS:
         headers = F.broadcast(headers)
-    body = lines.where(~is_header).join(headers, "file", "left")
+    headless_header = F.col("names").isNull() & (F.struct("block", "row") == F.col("first"))
+    body = lines.where(~is_header).join(headers, "file").where(~headless_header)
 
     def field(name: str) -> Column:
         at = F.array_position("names", F.lit(name)).cast("int")
         return null_if_missing(F.trim(F.try_element_at("cells", F.when(at > 0, at)))).alias(f"_{name}")
 
-    texts = body.select("file", "block", "row", F.col("names").isNull().alias("_headless"), *map(field, OHLCV.names))
-    return _typed(texts, F.when(F.col("_headless"), "missing_columns"))
+    spare = F.slice("cells", F.size("names") + 1, F.greatest(F.size("cells") - F.size("names"), F.lit(0)))
+    long = F.exists(spare, lambda c: F.length(F.trim(c)) > 0)
+    fault = F.when(F.col("names").isNull(), "missing_columns").when(long, "too_many_fields")
+    texts = body.select("file", "block", "row", fault.alias("_fault"), *map(field, OHLCV.names))
+    return _typed(texts, F.when(F.col("_fault").isNotNull(), F.col("_fault")))
 
 
 def price_file_rows(spark: SparkSession, path: str) -> DataFrame:

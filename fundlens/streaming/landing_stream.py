@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fundlens.plans.incremental_load import load_rows, require_loaded, ticker_watermarks
-from fundlens.sources.landing import LINE_SCHEMA, list_files, parse_price_lines, with_origin
+from fundlens.sources.files import text_lines
+from fundlens.sources.landing import list_files, parse_price_lines
 from fundlens.sources.tables import read_loads
 
 
@@ -27,20 +28,19 @@ def start_landing_stream(
     the batch before it (the first one: the price table) and overwrites its own
     folders, so a batch that Spark replays after a failure changes nothing. `name`
     belongs to the checkpoint: a new checkpoint needs a new name. Between its batches
-    the stream is the only writer of prices. Files come in order of modification time. With `archive`, Spark moves files there once they are done.
+    the stream is the only writer of prices. Files come in order of modification time.
+    With `archive`, Spark moves files there once they are done.
     """
     require_loaded(spark, root)
     _check_name(spark, root, checkpoint, name)
     reader = (
-        spark.readStream.schema(LINE_SCHEMA)
-        .option("header", False)
-        .option("pathGlobFilter", "*.csv")
+        spark.readStream.option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    lines = with_origin(reader.csv(incoming))
+    lines = text_lines(reader, incoming)
 
     def load_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession

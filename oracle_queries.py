@@ -225,7 +225,7 @@ ORACLE: dict[str, str] = {
       CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume FROM composite""",
     "feed_first_n_days": _with(PRICES, """
       last AS (SELECT MAX(date) AS d FROM prices WHERE date < DATE '2000-01-01'),
-      days AS (SELECT DISTINCT date FROM prices, last WHERE date > d AND date <= d + 13 ORDER BY date LIMIT 5)""")
+      days AS (SELECT DISTINCT date FROM prices, last WHERE date > d ORDER BY date LIMIT 5)""")
     + f"SELECT {_BAR} FROM prices WHERE date IN (SELECT date FROM days)",
     "etf_series": _with(*_ETF) + "SELECT etf_upload_id, date, CAST(price AS DOUBLE) AS price FROM series",
     "etf_series_complete": _with(*_ETF) + """SELECT g.etf_upload_id, g.date, CAST(CASE WHEN present = held THEN price END AS DOUBLE) AS price

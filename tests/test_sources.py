@@ -171,3 +171,18 @@ def test_listing(spark, tmp_path, n):
     states = sorted(r.state for r in landing.landing_files(listed, done).collect())
     assert states == sorted(["processed"] + ["pending"] * (n - 1))
     assert landing.list_files(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("width", [18, 200])
+def test_files_of_many_columns(spark, tmp_path, width):
+    spare = [f"x{i}" for i in range(width - 3)]
+    put(tmp_path, "in/p.csv", ",".join(["open", *spare, "volume", "close"]) + ",date,ticker\n"
+        + ",".join(["1", *spare, "7", "2.5"]) + ",2026-01-01,A\n" + ",".join(["1", *spare, "7", "2.5"]) + ",2026-01-02,A,more\n"
+        + ",".join(["1", *spare, "7", "2.5"]) + ",2026-01-03,A,,\n")
+    rows = landing.parse_price_lines(landing.price_lines(spark, str(tmp_path / "in"))).orderBy("date").collect()
+    assert [(str(r.date), str(r.close), r.volume, r.issue) for r in rows] == [
+        ("2026-01-01", "2.50", 7, None), ("2026-01-02", "2.50", 7, "too_many_fields"), ("2026-01-03", "2.50", 7, None)]
+    put(tmp_path, "w/wide_etf.csv", ",".join([*spare, "Ticker", "weight"]) + "\n" + ",".join([*spare, '"A, ""B"""', "0.5"]) + "\n")
+    assert weights(spark, tmp_path / "w")[0] == {("wide_etf.csv", 'A, "B"', "0.5")}
+    lines = files.weight_rows(files.weight_lines(spark, str(tmp_path / "w")))[0].collect()
+    assert [(r["name"], r.weight_text) for r in lines] == [('A, "B"', "0.5")]
