@@ -74,6 +74,14 @@ def latest_holdings(
     )
 
 
+def holdings_total(
+    prices: DataFrame, holdings: DataFrame, constituents: DataFrame, dates: DataFrame | None = None
+) -> DataFrame:
+    """Number and total weight of the rows of each portfolio's holdings view."""
+    return _valued(prices, holdings, constituents, dates).groupBy(ETF).agg(
+        F.count(F.lit(1)).alias("num_holdings"), F.sum("weight").alias("total_weight"))
+
+
 def top_holdings(
     prices: DataFrame,
     holdings: DataFrame,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fundlens.operators import load, monitor, quality
 from fundlens.sources import files
 from fundlens.sources.landing import ARRIVAL_OVER_FILES, price_file_rows
-from fundlens.sources.tables import drop_all, read_table, write_and_read, write_load
+from fundlens.sources.tables import drop_all, read_table, require_last, write_and_read, write_load
+from fundlens.session import use_checkpoint_folder
 
 
 def run_batch_load(
@@ -25,11 +26,14 @@ def run_batch_load(
 
     load_prices=False leaves prices alone, etf_name restricts the weight files by a
     part of their name, fresh empties the tables first. Running it again adds
-    nothing: rows, tickers and files already there are recognised. Load ids must
-    sort in load order.
+    nothing: rows, tickers and files already there are recognised. Every row read is
+    stored or in `rejected_rows`, and every weight file is in etf_uploads or file_issues.
+    A load id that does not sort after those stored is refused.
     """
+    use_checkpoint_folder(spark)
     if fresh:
         drop_all(spark, root)
+    require_last(spark, root, load_id)
     raw = None
     if load_prices:
         raw = write_and_read(price_file_rows(spark, f"{source}/prices.csv"), root, "staged", load_id)
@@ -47,16 +51,26 @@ def load_dimension(spark, source, root, load_id, raw: DataFrame | None) -> None:
             return
         listed = files.tickers_of(raw.where(F.col("ticker").isNotNull()))
     numbered = listed.withColumn("row", F.monotonically_increasing_id())
+    arrival = [c for c in ARRIVAL_OVER_FILES if c in numbered.columns]
     existing = read_table(spark, root, "constituents", without=load_id)
-    write_load(load.upsert_constituents(existing, numbered, ["row"]), root, "constituents", load_id)
+    write_load(load.upsert_constituents(existing, numbered, arrival), root, "constituents", load_id)
 
 
 def load_price_rows(spark, root, load_id, raw: DataFrame) -> None:
-    labelled = write_and_read(label_batch(raw), root, "labelled", load_id)
     constituents = read_table(spark, root, "constituents")
-    good = files.as_price_table(labelled.where(F.col("issue").isNull()), constituents)
     present = read_table(spark, root, "prices", without=load_id)
-    write_load(load.append_new(present, good, ["constituent_id", "date"]), root, "prices", load_id)
+    labelled = write_and_read(label_known(label_batch(raw), constituents, present), root, "labelled", load_id)
+    write_load(files.as_price_table(labelled.where(F.col("issue").isNull()), constituents), root, "prices", load_id)
+
+
+def label_known(labelled: DataFrame, constituents: DataFrame, present: DataFrame) -> DataFrame:
+    """Label rows of unknown tickers, and rows whose key another load has stored."""
+    ids = constituents.select("ticker", F.col("id").alias("_id"))
+    stored = present.select(F.col("constituent_id").alias("_id"), "date", F.lit(True).alias("_stored"))
+    issue = F.coalesce(
+        "issue", F.when(F.col("_id").isNull(), "unknown_ticker"), F.when(F.col("_stored"), "already_loaded"))
+    joined = labelled.join(ids, "ticker", "left").join(stored, ["_id", "date"], "left")
+    return joined.withColumn("issue", issue).drop("_id", "_stored")
 
 
 def label_batch(raw: DataFrame) -> DataFrame:
@@ -67,8 +81,27 @@ def label_batch(raw: DataFrame) -> DataFrame:
 
 
 def load_weights(spark, source, root, load_id, etf_name: str) -> None:
-    rows, _ = files.parse_weight_files(files.weight_files(spark, source, etf_name))
-    constituents = read_table(spark, root, "constituents")
-    headers, holdings = load.load_portfolios(rows, constituents, read_table(spark, root, "etf_uploads", without=load_id))
-    write_load(headers.withColumn("uploaded_at", F.current_timestamp()), root, "etf_uploads", load_id)
+    names = files.weight_file_names(spark, source, etf_name)
+    lines = files.weight_lines(spark, source, etf_name)
+    broken = lines.where(~F.col("valid")).select("file").distinct()
+    rows, headers = files.weight_rows(lines.join(broken, "file", "left_anti"))
+    uploads = read_table(spark, root, "etf_uploads", without=load_id)
+    loaded, holdings = load.load_portfolios(rows, read_table(spark, root, "constituents"), uploads)
+    write_load(loaded.withColumn("uploaded_at", F.current_timestamp()), root, "etf_uploads", load_id)
     write_load(holdings, root, "etf_holdings", load_id)
+    mark = lambda df, name: df.select("file", F.lit(True).alias(name)).distinct()
+    stored = read_table(spark, root, "etf_uploads").join(uploads.select("filename"), "filename", "left_anti")
+    seen = (
+        names.join(mark(uploads.withColumnRenamed("filename", "file"), "_already"), "file", "left")
+        .join(mark(stored.withColumnRenamed("filename", "file"), "_stored"), "file", "left")
+        .join(mark(broken, "_broken"), "file", "left")
+        .join(headers, "file", "left")
+        .join(rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows")), "file", "left")
+    )
+    rule = (
+        F.when(F.col("_already"), "already_loaded").when(F.col("length") == 0, "empty_file").when(F.col("_broken"), "not_utf8")
+        .when(F.size("missing") > 0, "missing_columns").when(F.col("missing").isNull(), "empty_file")
+        .when(F.col("rows").isNull(), "no_rows").otherwise("broken_row")
+    )
+    issues = seen.where(F.col("_stored").isNull()).select("file", rule.alias("rule"), F.coalesce("rows", F.lit(0)).alias("rows"))
+    write_load(issues, root, "file_issues", load_id)

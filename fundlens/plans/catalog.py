@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fundlens.functions.display import format_percent
 from fundlens.operators import load, market, monitor, portfolio, quality
-from fundlens.plans.star_schema import Market
+from fundlens.plans.star_schema import TRADE_ORDER, Market
 from fundlens.sources.files import wide_to_long as unpivot_closes
 from fundlens.sources.vendor import vendor_slice as slice_bars
 from fundlens.sources.vendor import vendor_wide_to_long as unpivot_bars
@@ -88,7 +88,8 @@ def vendor_wide_to_long(m):
 
 def feed_first_n_days(m):
     loaded = m.trades.where(F.col("date") < F.lit(FEED_LOADED_BEFORE).cast("date"))
-    return load.feed_first_n_days(m.prices, loaded, 5)
+    vendor = m.prices_from(F.lit(FEED_LOADED_BEFORE).cast("date"))  # what is loaded ends before
+    return load.feed_first_n_days(vendor, loaded, 5)
 
 
 # -- portfolios ----------------------------------------------------------------
@@ -102,11 +103,15 @@ def etf_series_complete(m):
 
 
 def holdings(m):
-    return portfolio.latest_holdings(m.prices, m.holdings, m.constituents, m.trades)
+    return portfolio.latest_holdings(m.newest_prices, m.holdings, m.constituents, m.trades)
+
+
+def holdings_total(m):
+    return portfolio.holdings_total(m.newest_prices, m.holdings, m.constituents, m.trades)
 
 
 def top_holdings(m):
-    return portfolio.top_holdings(m.prices, m.holdings, m.constituents, 5, m.trades)
+    return portfolio.top_holdings(m.newest_prices, m.holdings, m.constituents, 5, m.trades)
 
 
 def best_worst_days(m):
@@ -173,7 +178,7 @@ def sector_stats(m):
 
 
 def sector_snapshot(m):
-    return market.sector_snapshot(m.prices, m.constituents, m.trades)
+    return market.sector_snapshot(m.newest_prices, m.constituents, m.trades)
 
 
 def paired_prices(m):
@@ -193,7 +198,7 @@ def latest_state(m):
 
 
 def latest_date_rows(m):
-    return market.latest_date_rows(m.prices, m.trades)
+    return market.latest_date_rows(m.newest_prices, m.trades)
 
 
 def format_volume(m):
@@ -202,15 +207,12 @@ def format_volume(m):
 
 # -- quality -------------------------------------------------------------------
 
-_ARRIVAL = ["l_orderkey", "l_linenumber", "l_partkey", "px", "qty"]
-
-
 def quality_prices(m):
-    return quality.quality_prices(m.quotes, ["constituent_id", "date"], _ARRIVAL)
+    return quality.quality_prices(m.quotes, ["constituent_id", "date"], TRADE_ORDER)
 
 
 def dedup_last(m):
-    return quality.dedup_last(m.trades, ["constituent_id", "date"], _ARRIVAL)
+    return quality.dedup_last(m.trades, ["constituent_id", "date"], TRADE_ORDER)
 
 
 def ohlc_report(m):
@@ -297,7 +299,7 @@ def ingest_status(m):
 _QUERIES = (
     scan_prices, scan_constituents, scan_weights, pivot_close, wide_to_long, vendor_slice, vendor_wide_to_long,
     feed_first_n_days,
-    etf_series, etf_series_complete, holdings, top_holdings, best_worst_days, etf_compare, sector_exposure,
+    etf_series, etf_series_complete, holdings, holdings_total, top_holdings, best_worst_days, etf_compare, sector_exposure,
     portfolio_list, active_portfolio, trailing_change,
     price_summary, moving_average, moving_averages_5_20, daily_returns, volatility, performance_ranking,
     volume_leaders, volume_spikes, sector_stats, sector_snapshot, paired_prices, price_correlation, ohlcv_tail,

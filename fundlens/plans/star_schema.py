@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.operators import load, portfolio
@@ -42,9 +42,9 @@ class Market:
         """Mark a frame of at most two rows per supplier for broadcast, if those are few."""
         return F.broadcast(df) if self._few_suppliers else df
 
-    @cached_property
-    def trades(self) -> DataFrame:
-        return self.table("lineitem").select(
+    @staticmethod
+    def _trades(lines: DataFrame) -> DataFrame:
+        return lines.select(
             F.col("l_suppkey").alias("constituent_id"),
             F.col("l_shipdate").cast("date").alias("date"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("px"),
@@ -52,12 +52,12 @@ class Market:
             "l_orderkey", "l_linenumber", "l_partkey",
         )
 
-    @cached_property
-    def prices(self) -> DataFrame:
+    @staticmethod
+    def _bars(trades: DataFrame) -> DataFrame:
         """One bar per security and day. The aggregation combines in the map tasks, so a
         security with very many trades reaches the shuffle as few rows per task and day."""
         order = F.struct(*TRADE_ORDER)
-        return self.trades.groupBy("constituent_id", "date").agg(
+        return trades.groupBy("constituent_id", "date").agg(
             F.min(order)["px"].alias("open_price"),
             F.max("px").alias("high_price"),
             F.min("px").alias("low_price"),
@@ -65,6 +65,24 @@ class Market:
             F.sum("qty").alias("volume"),
         )
 
+    @cached_property
+    def trades(self) -> DataFrame:
+        return self._trades(self.table("lineitem"))
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return self._bars(self.trades)
+
+    def prices_from(self, start: Column) -> DataFrame:
+        """Bars from the start of a day on. The stored timestamp is compared, not its date,
+        so the scan skips older row groups."""
+        return self._bars(self._trades(self.table("lineitem").where(F.col("l_shipdate") >= start.cast("timestamp_ntz"))))
+
+    @cached_property
+    def newest_prices(self) -> DataFrame:
+        """Bars of the newest day of the table."""
+        return self.prices_from(self.table("lineitem").agg(F.max("l_shipdate").cast("date")).scalar())
+
     @cached_property
     def constituents(self) -> DataFrame:
         balance = F.col("s_acctbal")

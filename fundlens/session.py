@@ -25,19 +25,22 @@ def local_session(cores: int | str = "*", app: str = "fundlens", **conf: str) ->
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later reads see exactly these rows, also after losing executors.
+def use_checkpoint_folder(spark: SparkSession) -> None:
+    """Make sure that checkpoints have a folder: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. Only a local-mode session
-    without one gets a temporary folder; on a cluster that is an error.
+    Only plain local mode without one gets a temporary folder; on a cluster that is an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="fundlens-checkpoint-")
         sc.setCheckpointDir(folder)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: later reads see exactly these rows, also after losing executors."""
+    use_checkpoint_folder(df.sparkSession)
     return df.checkpoint()

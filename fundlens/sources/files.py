@@ -30,14 +30,13 @@ def cells(line: Column) -> Column:
 
 
 def text_lines(reader, paths) -> DataFrame:
-    """Non-empty lines of text files with their origin: value, file, block, row.
-
-    file is the path; block and row order the lines of one file. `reader` is a batch or
+    """Non-empty lines of text files: value, valid (the bytes are UTF-8), file (its path), and
+    block, the offset of the part of the file that was read together. `reader` is a batch or
     streaming reader with its options set.
     """
     lines = reader.format("text").load(paths)
     return lines.where(F.length(F.trim("value")) > 0).select(
-        F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"),
+        F.regexp_replace("value", "^\\x{FEFF}", "").alias("value"), F.is_valid_utf8("value").alias("valid"),
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
@@ -82,7 +81,8 @@ def as_price_table(long: DataFrame, constituents: DataFrame | None = None) -> Da
 
 
 def read_constituents(spark: SparkSession, path: str) -> DataFrame | None:
-    """Dimension CSV, or None where there is none; the caller then uses tickers_of(prices)."""
+    """Dimension CSV with the file and block of each row, or None where there is none; the
+    caller then uses tickers_of(prices)."""
     try:
         raw = spark.read.option("header", True).csv(path)
     except AnalysisException as error:
@@ -90,7 +90,9 @@ def read_constituents(spark: SparkSession, path: str) -> DataFrame | None:
             return None
         raise
     columns = ["ticker", "name", "sector", "industry", "market_cap"]
-    return raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    return raw.select(
+        *[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns],
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def tickers_of(prices: DataFrame) -> DataFrame:
@@ -111,10 +113,10 @@ def weight_files(spark: SparkSession, path: str, name_part: str = "") -> DataFra
     return listed.where(~lower.contains("prices") & ~lower.contains("constituents"))
 
 
-def uploaded_files(spark: SparkSession, path: str) -> DataFrame:
+def uploaded_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """All files of an upload folder as binaryFile rows. Spark leaves empty files out of
     a scan but not out of its file list, from which they are added with length 0."""
-    listed = spark.read.format("binaryFile").load(path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "url string")
     last = F.replace(F.element_at(F.split("url", "/"), -1), F.lit("+"), F.lit("%2B"))
     every = names.select(F.url_decode(last).alias("file"))
@@ -149,12 +151,20 @@ def parse_weight_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return weight_rows(opened.where((F.length(F.trim("value")) > 0) | (F.col("row") == 0)))
 
 
+_holds_weights = "NOT contains(lower(file), 'prices') AND NOT contains(lower(file), 'constituents')"
+
+
 def weight_lines(spark: SparkSession, path: str, name_part: str = "") -> DataFrame:
     """Lines of the weight files below a folder, whatever their size; `file` is the name."""
     reader = spark.read.option("pathGlobFilter", f"*{name_part}*etf*.csv")
     lines = text_lines(reader, path).withColumn("row", F.monotonically_increasing_id())
     named = lines.withColumn("file", F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B"))))
-    return named.where(~F.lower("file").contains("prices") & ~F.lower("file").contains("constituents"))
+    return named.where(_holds_weights)
+
+
+def weight_file_names(spark: SparkSession, path: str, name_part: str = "") -> DataFrame:
+    """file and length of the same files, empty ones too."""
+    return uploaded_files(spark, path, f"*{name_part}*etf*.csv").select("file", "length").where(_holds_weights)
 
 
 def weight_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -38,6 +38,9 @@ RUNS = T.StructType([
     T.StructField("new_watermark", T.DateType()),
 ])
 
+# Weight files of a load that are not among its uploads, with the reason.
+FILE_ISSUES = T.StructType([T.StructField("file", T.StringType()), T.StructField("rule", T.StringType()), T.StructField("rows", T.LongType())])
+
 SCHEMAS = {
     "constituents": schema.CONSTITUENTS,
     "prices": schema.PRICES,
@@ -47,6 +50,7 @@ SCHEMAS = {
     "staged": STAGED,
     "labelled": LABELLED,
     "files": FILES,
+    "file_issues": FILE_ISSUES,
     "runs": RUNS,
 }
 SNAPSHOTS = ("constituents", "watermarks")
@@ -77,18 +81,26 @@ def read_table(spark: SparkSession, root: str, table: str, without: str | None =
     return loads.select(*SCHEMAS[table].names)
 
 
+def require_last(spark: SparkSession, root: str, load_id: str) -> None:
+    """Refuse a load id that does not sort last: snapshots are read at their greatest id."""
+    newest = read_loads(spark, root, "constituents").agg(F.max("load_id")).first()[0]
+    if newest is not None and newest > load_id:
+        raise ValueError(f"load id {load_id!r} sorts before {newest!r}, which is stored already")
+
+
 def write_load(df: DataFrame, root: str, table: str, load_id: str) -> None:
     """Write one load. Prices go into months, sorted by security and range-partitioned
     over (month, security): even files, and a narrow id range in each for scans to skip."""
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
     path = f"{root}/{table}/load_id={load_id}"
     if table != "prices":
-        out.write.mode("overwrite").parquet(path)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         return
     monthly = out.withColumn("month", F.date_format("date", "yyyy-MM"))
     order = ["month", "constituent_id", "date"]
     placed = monthly.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed.write.mode("overwrite").partitionBy("month").parquet(path)
+    # static whatever the session says: a load that is repeated leaves no month of its first run
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("month").parquet(path)
 
 
 def write_and_read(df: DataFrame, root: str, table: str, load_id: str) -> DataFrame:
@@ -103,4 +115,4 @@ def drop_all(spark: SparkSession, root: str) -> None:
     """Empty every table, as a fresh load starts."""
     for table, columns in SCHEMAS.items():
         none = spark.createDataFrame([], T.StructType(columns.fields + [T.StructField("load_id", T.StringType())]))
-        none.write.mode("overwrite").partitionBy("load_id").parquet(f"{root}/{table}")
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("load_id").parquet(f"{root}/{table}")

@@ -235,6 +235,8 @@ ORACLE: dict[str, str] = {
     "holdings": _with(*_MARKET, HOLDINGS, VALUED) + f"""SELECT etf_upload_id, ticker AS name, company_name, sector,
       CAST(weight AS DOUBLE) AS weight, CAST(close_price AS DOUBLE) AS latest_price, {_money('value')} AS holding_value,
       volume, date AS price_date FROM valued""",
+    "holdings_total": _with(*_MARKET, HOLDINGS, VALUED) + """SELECT etf_upload_id, COUNT(*) AS num_holdings,
+      CAST(SUM(weight) AS DOUBLE) AS total_weight FROM valued GROUP BY 1""",
     "top_holdings": _with(*_MARKET, HOLDINGS, VALUED) + f"""SELECT etf_upload_id, ticker AS name, CAST(weight AS DOUBLE) AS weight,
       CAST(close_price AS DOUBLE) AS latest_price, {_money('value')} AS holding_value, rank
       FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY etf_upload_id ORDER BY value DESC, ticker) AS rank FROM valued) x WHERE rank <= 5""",

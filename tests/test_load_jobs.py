@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fundlens.plans import incremental_load as inc
 from fundlens.plans.batch_load import run_batch_load
 from fundlens.plans.reports import market_reports, write_reports
-from fundlens.sources.tables import read_table
+from fundlens.sources.tables import drop_all, read_loads, read_table, write_load
 from fundlens.streaming.landing_stream import start_landing_stream
 
 HEADER = "date,ticker,open,high,low,close,volume\n"
@@ -69,17 +69,58 @@ def test_batch_load(spark, source, loaded_once, root):
     assert (stats.total_constituents, stats.total_price_records, stats.total_etf_uploads, stats.total_holdings) == (2, 4, 2, 2)
     assert stored(spark, root) == FIRST
     rejects = {(r.ticker, r.issue) for r in inc.rejected_rows(spark, root).collect()}
-    assert rejects == {("AAPL", "duplicate"), ("XOM", "negative_close"), ("XOM", "null_close")}
+    assert rejects == {("AAPL", "duplicate"), ("XOM", "negative_close"), ("XOM", "null_close"), ("ZZZ", "unknown_ticker")}
+    assert read_table(spark, root, "staged").count() == 4 + inc.rejected_rows(spark, root).count()
+    issues = {(r.file, r.rule, r.rows) for r in read_table(spark, root, "file_issues").collect()}
+    assert issues == {("broken_etf.csv", "broken_row", 1), ("headless_etf.csv", "missing_columns", 0)}
     uploads = {r.filename: (r.id, float(r.total_weight), r.num_constituents) for r in read_table(spark, root, "etf_uploads").collect()}
     assert uploads == {"energy_etf.csv": (1, 1.0, 1), "tech_etf.csv": (2, 1.0, 2)}
     assert {(r.etf_upload_id, float(r.weight)) for r in read_table(spark, root, "etf_holdings").collect()} == {(1, 1.0), (2, 0.5)}
 
     again = run_batch_load(spark, source, root, "b2").first()
     assert again == stats
+    second = inc.rejected_rows(spark, root).where("load_id = 'b2'")
+    assert second.count() == 8 and second.where("issue = 'already_loaded'").count() == 4
+    with pytest.raises(ValueError, match="sorts before"):
+        run_batch_load(spark, source, root, "b10")
     fresh = run_batch_load(spark, source, root, "b3", load_prices=False, etf_name="tech", fresh=True).first()
     assert (fresh.total_price_records, fresh.total_etf_uploads, fresh.total_holdings, fresh.latest_date) == (0, 1, 1, None)
 
 
+def test_every_weight_file_is_accounted_for(spark, source, root, tmp_path):
+    folder = tmp_path / "more"
+    put(folder, "constituents.csv", "ticker,name\nAAPL,Apple\n")
+    put(folder, "tech_etf.csv", "ticker,weight\nAAPL,0.5\n")  # loaded before
+    put(folder, "new_etf.csv", "ticker,weight\nAAPL,0.5\n")
+    put(folder, "big_etf.csv", "note,ticker,weight\n" + f"{'x' * 100},ZZZ,0.001\n" * 13_000 + ",AAPL,0.25\n")
+    put(folder, "headless_etf.csv", "foo,pct\nAAPL,0.5\n")
+    put(folder, "empty_etf.csv", "")
+    put(folder, "header_etf.csv", "ticker,weight\n")
+    put(folder, "twice_etf.csv", "ticker,weight\nAAPL,0.5\nAAPL,0.5\n")
+    (folder / "latin_etf.csv").write_bytes("ticker,weight\nÄ,1\n".encode("latin-1"))
+    run_batch_load(spark, str(folder), root, "b2", load_prices=False)
+    uploads = {r.filename: r.num_constituents for r in read_table(spark, root, "etf_uploads").collect()}
+    assert uploads == {"energy_etf.csv": 1, "tech_etf.csv": 1 + 1, "new_etf.csv": 1, "big_etf.csv": 13_001}
+    issues = {r.file: r.rule for r in read_loads(spark, root, "file_issues").where("load_id = 'b2'").collect()}
+    assert issues == {"tech_etf.csv": "already_loaded", "headless_etf.csv": "missing_columns", "empty_etf.csv": "empty_file",
+                      "header_etf.csv": "no_rows", "twice_etf.csv": "broken_row", "latin_etf.csv": "not_utf8"}
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writes_replace_whatever_the_overwrite_mode(spark, root, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        days = spark.createDataFrame([(1, dt.date(2026, m, 1)) for m in (3, 4)], "constituent_id long, date date")
+        for part in (days, days.where("month(date) = 4")):
+            full = part.select("constituent_id", "date", *[F.lit(1).alias(c) for c in ("open_price", "high_price", "low_price", "close_price", "volume")])
+            write_load(full, root, "prices", "r1")
+        assert [str(r.date) for r in read_loads(spark, root, "prices").where("load_id = 'r1'").collect()] == ["2026-04-01"]
+        drop_all(spark, root)
+        assert read_table(spark, root, "prices").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_batch_load_without_dimension(spark, source, tmp_path):
     shutil.copytree(source, tmp_path / "source")
     os.remove(tmp_path / "source" / "constituents.csv")

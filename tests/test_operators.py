@@ -300,6 +300,9 @@ def test_feed_days(spark):
     p = prices(spark, {1: [1, 2, 3, 4], 2: [1, None, 3, 4]})
     loaded = p.where("date <= '2024-01-02'")
     assert values(load.feed_first_n_days(p, loaded, 2), "constituent_id", "date") == [[1, "2024-01-03"], [1, "2024-01-04"], [2, "2024-01-04"]]
+    late = loaded.withColumn("date", F.date_sub("date", 60))  # a gap longer than any day count
+    assert values(load.feed_first_n_days(p, late, 1), "constituent_id", "date") == values(
+        p.where(F.col("date") == p.agg(F.min("date")).scalar()), "constituent_id", "date")
     with pytest.raises(ValueError):
         load.feed_first_n_days(p, loaded, 0)
 
