@@ -193,9 +193,15 @@ def sector_stats(prices: DataFrame, constituents: DataFrame) -> DataFrame:
     )
 
 
-def latest_date_rows(prices: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+# In place of `dates`: the price frame holds no other date than the newest.
+ONLY_NEWEST = "only newest"
+
+
+def latest_date_rows(prices: DataFrame, dates: DataFrame | str | None = None) -> DataFrame:
     """Rows on the newest date of the whole table. `dates` may be any cheaper frame
-    with the same MAX(date), such as the raw records the bars come from."""
+    with the same MAX(date), such as the raw records the bars come from, or ONLY_NEWEST."""
+    if isinstance(dates, str):
+        return prices
     return prices.where(F.col("date") == newest_date(prices if dates is None else dates))
 
 

@@ -51,8 +51,16 @@ def scan_weights(m):
     return m.weight_rows.withColumn("weight", F.expr("try_cast(weight_text AS DECIMAL(18,8))"))
 
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """Rows of portfolios in ETF_IDS; one of another portfolio, which a pivot over that list
+    would lose, is an error when it is read."""
+    known = F.col("etf_upload_id").isin(ETF_IDS)
+    return rows.where(F.when(known, True).otherwise(F.raise_error(F.lit("a portfolio is not in ETF_IDS")).cast("boolean")))
+
+
 def _wide_series(m):
-    ids = m.series.withColumn("ticker", F.concat(F.lit("ETF"), F.col("etf_upload_id").cast("string")))
+    """The portfolios' series, not the securities': a handful of columns."""
+    ids = _listed(m.series).withColumn("ticker", F.concat(F.lit("ETF"), F.col("etf_upload_id").cast("string")))
     return market.pivot_close(ids, "ticker", [f"ETF{i}" for i in ETF_IDS], "price")
 
 
@@ -71,7 +79,7 @@ def vendor_slice(m):
 
 
 def _composite_bars(m):
-    bars = m.prices.join(m.holdings.select("etf_upload_id", "constituent_id"), "constituent_id")
+    bars = m.prices.join(_listed(m.holdings).select("etf_upload_id", "constituent_id"), "constituent_id")
     name = F.concat(F.lit("ETF"), F.col("etf_upload_id").cast("string")).alias("ticker")
     return bars.groupBy(name, "date").agg(
         F.min("open_price").alias("Open"), F.max("high_price").alias("High"), F.min("low_price").alias("Low"),
@@ -88,7 +96,7 @@ def vendor_wide_to_long(m):
 
 def feed_first_n_days(m):
     loaded = m.trades.where(F.col("date") < F.lit(FEED_LOADED_BEFORE).cast("date"))
-    vendor = m.prices_from(F.lit(FEED_LOADED_BEFORE).cast("date"))  # what is loaded ends before
+    vendor = m.prices_from(F.lit(FEED_LOADED_BEFORE).cast("timestamp_ntz"))  # what is loaded ends before
     return load.feed_first_n_days(vendor, loaded, 5)
 
 
@@ -103,15 +111,15 @@ def etf_series_complete(m):
 
 
 def holdings(m):
-    return portfolio.latest_holdings(m.newest_prices, m.holdings, m.constituents, m.trades)
+    return portfolio.latest_holdings(m.newest_prices, m.holdings, m.constituents, market.ONLY_NEWEST)
 
 
 def holdings_total(m):
-    return portfolio.holdings_total(m.newest_prices, m.holdings, m.constituents, m.trades)
+    return portfolio.holdings_total(m.newest_prices, m.holdings, m.constituents, market.ONLY_NEWEST)
 
 
 def top_holdings(m):
-    return portfolio.top_holdings(m.newest_prices, m.holdings, m.constituents, 5, m.trades)
+    return portfolio.top_holdings(m.newest_prices, m.holdings, m.constituents, 5, market.ONLY_NEWEST)
 
 
 def best_worst_days(m):
@@ -178,7 +186,7 @@ def sector_stats(m):
 
 
 def sector_snapshot(m):
-    return market.sector_snapshot(m.newest_prices, m.constituents, m.trades)
+    return market.sector_snapshot(m.newest_prices, m.constituents, market.ONLY_NEWEST)
 
 
 def paired_prices(m):
@@ -198,7 +206,7 @@ def latest_state(m):
 
 
 def latest_date_rows(m):
-    return market.latest_date_rows(m.newest_prices, m.trades)
+    return market.latest_date_rows(m.newest_prices, market.ONLY_NEWEST)
 
 
 def format_volume(m):

@@ -74,14 +74,14 @@ class Market:
         return self._bars(self.trades)
 
     def prices_from(self, start: Column) -> DataFrame:
-        """Bars from the start of a day on. The stored timestamp is compared, not its date,
+        """Bars from the start of a day (a timestamp without zone) on. The stored timestamp is compared, not its date,
         so the scan skips older row groups."""
-        return self._bars(self._trades(self.table("lineitem").where(F.col("l_shipdate") >= start.cast("timestamp_ntz"))))
+        return self._bars(self._trades(self.table("lineitem").where(F.col("l_shipdate") >= start)))
 
     @cached_property
     def newest_prices(self) -> DataFrame:
         """Bars of the newest day of the table."""
-        return self.prices_from(self.table("lineitem").agg(F.max("l_shipdate").cast("date")).scalar())
+        return self.prices_from(self.table("lineitem").agg(F.max("l_shipdate").cast("date").cast("timestamp_ntz")).scalar())
 
     @cached_property
     def constituents(self) -> DataFrame:

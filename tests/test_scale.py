@@ -126,3 +126,18 @@ def test_hot_rows_shrink_before_they_travel(spark, skewed):
                                  spark.createDataFrame([], "ticker string, wm date"), arrival=["n"])
     per_ticker = verdicts.groupBy("ticker").count().agg(F.max("count")).first()[0]
     assert per_ticker <= 20 * 7 and tasks >= 1
+
+
+def test_newest_day_reaches_the_scan(plans):
+    for name in ("latest_date_rows", "holdings", "holdings_total", "top_holdings", "sector_snapshot"):
+        assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(l_shipdate", plans[name]), name
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(l_shipdate,2000", plans["feed_first_n_days"])
+
+
+def test_a_portfolio_out_of_the_list_is_an_error(spark, monkeypatch):
+    from fundlens.plans import catalog
+
+    monkeypatch.setattr(catalog, "ETF_IDS", [1, 2, 3, 4, 5])
+    for name in ("pivot_close", "wide_to_long", "vendor_wide_to_long"):
+        with pytest.raises(Exception, match="not in ETF_IDS"):
+            QUERIES[name](spark, SF).collect()
