@@ -53,17 +53,21 @@ def db_stats(
     )
 
 
-def watermarks(prices: DataFrame, constituents: DataFrame) -> DataFrame:
-    """First and last date and row count of every security."""
+def watermarks(
+    prices: DataFrame, constituents: DataFrame, sort: str | None = None, ascending: bool = True
+) -> DataFrame:
+    """First and last date and row count of every security, in no order unless one is
+    asked for; ties then are by ticker."""
     spans = prices.groupBy("constituent_id").agg(
         F.min("date").alias("earliest_date"),
         F.max("date").alias("latest_date"),
         F.count(F.lit(1)).alias("record_count"),
     )
     dim = constituents.select(F.col("id").alias("constituent_id"), "ticker", "sector")
-    return spans.join(dim, "constituent_id").select(
+    rows = spans.join(dim, "constituent_id").select(
         "ticker", "sector", "earliest_date", "latest_date", "record_count"
     )
+    return rows if sort is None else rows.orderBy(F.col(sort).asc() if ascending else F.col(sort).desc(), "ticker")
 
 
 def lagging_tickers(prices: DataFrame, constituents: DataFrame, dates: DataFrame | None = None) -> DataFrame:

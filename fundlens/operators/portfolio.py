@@ -58,10 +58,13 @@ def latest_holdings(
     constituents: DataFrame,
     dates: DataFrame | None = None,
     keep_missing: bool = False,
+    sort: str | None = None,
+    ascending: bool = True,
 ) -> DataFrame:
     """Holdings priced on the newest date of the whole table. Securities that did not
-    trade then are left out, or kept with NULL prices under keep_missing."""
-    return _valued(prices, holdings, constituents, dates, keep_missing).select(
+    trade then are left out, or kept with NULL prices under keep_missing. Rows are in no
+    order unless one is asked for; ties then are by portfolio and name."""
+    rows = _valued(prices, holdings, constituents, dates, keep_missing).select(
         ETF,
         F.col("ticker").alias("name"),
         F.col("name").alias("company_name"),
@@ -72,6 +75,7 @@ def latest_holdings(
         "volume",
         F.col("date").alias("price_date"),
     )
+    return rows if sort is None else rows.orderBy(F.col(sort).asc() if ascending else F.col(sort).desc(), ETF, "name")
 
 
 def holdings_total(

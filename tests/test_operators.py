@@ -190,6 +190,11 @@ def test_holdings_on_the_newest_date(spark):
     kept = portfolio.latest_holdings(p, h, c, keep_missing=True)
     assert values(kept.where("name = 'C'"), "weight", "latest_price") == [[0.4, None]]
     assert values(portfolio.top_holdings(p, h, c, 1), "name", "rank") == [["A", 1]]  # equal values: by name
+    ordered = portfolio.latest_holdings(p, h, c, sort="latest_price", ascending=False)
+    assert [r["name"] for r in ordered.collect()] == ["B", "A"]
+    spans = monitor.watermarks(p, c, sort="record_count")
+    assert [r.ticker for r in spans.collect()] == ["C", "A", "B"]
+    assert values(portfolio.holdings_total(p, h, c), "etf_upload_id", "num_holdings", "total_weight") == [[7, 2, 0.6]]
     exposure = portfolio.sector_exposure(h, c)
     assert values(exposure, "sector", "num_holdings", "total_weight", "weight_pct") == [["Oil", 2, 0.6, 60.0], ["Tech", 1, 0.4, 40.0]]
     assert portfolio.latest_holdings(p, h.where("etf_upload_id = 8"), c).count() == 0
