@@ -1,15 +1,16 @@
 """Language identification by prediction by partial matching (PPM).
 
 Training counts, per language, which byte follows which context of up to ORDER bytes. The
-contexts form one tree of variable order: a context is kept if it was seen often enough, and
-the tree is bounded by the bytes its tables take. The statistics then are frozen: for every
+contexts form one tree of variable order: every context that was seen MIN_SEEN times is kept, and
+counts in the others go to their longest kept part. The statistics then are frozen: for every
 context, byte and language the code length in bits is computed once. A byte that was seen in
 the context costs -log2(count / (total + distinct)); another one costs the escape,
 -log2(distinct / (total + distinct)), plus its cost in the next shorter context, where bytes of
 the longer context are excluded, so that probabilities sum to 1. A text's language is the one
 whose model codes it shortest.
 
-Counting is an aggregation with map-side combining over all training rows. Scoring walks the
+Counting is an aggregation with map-side combining over all training rows, and pruning is done
+in Spark too; the driver gets the counts in kept contexts. Scoring walks the
 tree for all positions of a batch at once, without a shuffle.
 """
 
@@ -21,15 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.llm.common import doc_fold, pick, tagged, untagged
+from fundlens.session import materialize
 
 ORDER = 3
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
-# A context is in the tree if it was seen this often; the tables of costs take at most so many bytes.
+# A context is in the tree if it was seen this often, in all languages together.
 MIN_SEEN = 20
-TABLE_BYTES = 24 << 20
-# Counts the model is fitted on, the most frequent first, and those a task holds per language.
-MAX_GRAMS = 1_000_000
+# Different grams a task counts per language before it passes them on.
 GRAMS_IN_TASK = 1_000_000
 # Bytes a task counts or scores together; longer texts are cut in pieces that overlap by ORDER.
 BYTES_AT_ONCE = 2 << 20
@@ -116,22 +116,38 @@ def count_grams(rows: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
+def pruned(counted: DataFrame) -> DataFrame:
+    """lang, gram, n, reach: the bytes of context of a gram that are in the tree; older bytes are 0 and their counts summed."""
+    reach = F.lit(0)
+    for depth in range(1, ORDER + 1):
+        context = F.shiftright("gram", 8).bitwiseAND((1 << 8 * depth) - 1).alias(f"c{depth}")
+        counted = counted.select("*", context)
+        kept = counted.groupBy(f"c{depth}").agg(F.sum("n").alias(f"n{depth}")).where(F.col(f"n{depth}") >= MIN_SEEN)
+        # short contexts are at most 256 or 65,536; a long one has few grams in each language
+        counted = counted.join(F.broadcast(kept) if depth < 3 else kept, f"c{depth}", "left")
+        reach = F.when(F.col(f"n{depth}").isNotNull(), depth).otherwise(reach)
+    part = F.col("gram").bitwiseAND(F.expr("shiftleft(1L, 8 * (reach + 1)) - 1"))
+    return counted.select("lang", "gram", "n", reach.alias("reach")).select("lang", part.alias("gram"), "n", "reach").groupBy(
+        "lang", "gram", "reach").agg(F.sum("n").alias("n"))
+
+
 class Model:
     """The frozen tree and its code lengths.
 
     child[node, symbol] walks from a context to the one with one older byte (-1: not kept);
     bits[node * symbols + symbol] are the code lengths, one per language. Symbol 0 stands for
-    all bytes never seen in training and, as a context, for the start of a text.
+    all bytes never seen in training and, as a context, for the start of a text. `reach`: so many
+    bytes of each gram's context are known, by default all.
     """
 
-    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
+    def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, reach: np.ndarray | None = None):
         self.langs = langs
         seen = np.unique(np.concatenate([(gram >> 8 * k) & 255 for k in range(ORDER + 1)] + [[0]]))
         seen = seen[np.isin(seen, gram & 255)]
         self.symbol = np.zeros(256, np.int32)
         self.symbol[seen.astype(int)] = np.arange(1, len(seen) + 1)
         self.symbols = a = len(seen) + 1
-        most = max(1, TABLE_BYTES // (4 * a * len(langs)))
+        reach = np.full(len(gram), ORDER) if reach is None else reach
         next_symbol = self.symbol[gram & 255]
         older = [self.symbol[(gram >> 8 * k) & 255] for k in range(1, ORDER + 1)]
         self.child = np.full((1, a), -1, np.int32)
@@ -140,13 +156,11 @@ class Model:
         parents = [np.zeros(1, np.int64)]
         total = 1
         for depth in range(ORDER):
-            key = np.where(nodes >= 0, nodes * a + older[depth], -1)
+            key = np.where((nodes >= 0) & (reach > depth), nodes * a + older[depth], -1)
             keys, where = np.unique(key, return_inverse=True)
             often = np.bincount(where, weights=n)
             often[keys < 0] = 0
-            room = most - total
-            order = np.argsort(-often, kind="stable")[:max(0, room)]
-            kept = np.sort(order[often[order] >= MIN_SEEN])
+            kept = np.flatnonzero(often >= MIN_SEEN)
             number = np.full(len(keys), -1, np.int64)
             number[kept] = np.arange(total, total + len(kept))
             self.child.reshape(-1)[keys[kept]] = number[kept]
@@ -227,21 +241,21 @@ class Model:
 def train(rows: DataFrame) -> Model | None:
     """A model of all rows (text, lang) that have both, or None if there is none.
 
-    The MAX_GRAMS most frequent (language, gram) counts reach the driver.
+    The counts of kept contexts reach the driver; they grow with the tree.
     """
-    counted = count_grams(rows.where("text IS NOT NULL AND lang IS NOT NULL"))
-    table = counted.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).toArrow()
+    counted = materialize(count_grams(rows.where("text IS NOT NULL AND lang IS NOT NULL")))
+    table = pruned(counted).toArrow()
     if table.num_rows == 0:
         return None
     langs, lang = np.unique(np.array(table["lang"].to_pylist(), str), return_inverse=True)
-    return Model(langs.tolist(), lang, table["gram"].to_numpy(), table["n"].to_numpy())
+    return Model(langs.tolist(), lang, *(table[c].to_numpy() for c in ("gram", "n", "reach")))
 
 
 def _predictor(spark: SparkSession, model: Model | None):
     """Texts -> (languages, scores), for use in tasks."""
     if model is None:
         return lambda texts: ([UNKNOWN] * len(texts), [0.0] * len(texts))
-    sent = spark.sparkContext.broadcast(model)  # bounded by TABLE_BYTES
+    sent = spark.sparkContext.broadcast(model)  # contexts x symbols x languages
     return lambda texts: sent.value.predict(texts)
 
 

@@ -82,6 +82,27 @@ def test_pieces_change_nothing(monkeypatch):
     assert np.allclose(model.code_lengths(texts), whole, rtol=1e-5)
 
 
+def test_every_context_seen_often_is_in_the_tree(monkeypatch):
+    monkeypatch.setattr(language_id, "MIN_SEEN", 1)
+    rng = np.random.default_rng(1)
+    texts = [(f"l{k:02}", rng.integers(60, 120, 300, dtype=np.uint8).tobytes()) for k in range(20)]
+    model, counts, _ = model_and_counts(3, texts)
+    assert len(model.child) == len({c for _, c in counts}) > 6000
+
+
+def test_pruning_in_spark_keeps_all_counts(spark, documents, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_GRAMS", 500, raising=False)  # caps that there were
+    monkeypatch.setattr(language_id, "TABLE_BYTES", 50_000, raising=False)
+    rows = [(r.lang, r.text.encode()) for r in documents.where("lang IS NOT NULL AND text IS NOT NULL").collect()]
+    want, counts, _ = model_and_counts(3, rows)
+    got = language_id.train(documents.select("text", "lang"))
+    total = defaultdict(int)
+    for (_, context), seen in counts.items():
+        total[context] += sum(seen.values())
+    assert len(got.child) == sum(n >= language_id.MIN_SEEN for n in total.values()) > 1000
+    assert got.langs == want.langs and np.array_equal(got.child, want.child) and np.array_equal(got.bits, want.bits)
+
+
 def test_odd_rows(spark, odd_documents):
     rows = language_id.identify(odd_documents).collect()
     assert len(rows) == odd_documents.count()
