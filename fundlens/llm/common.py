@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlens.session import use_checkpoint_folder
+
 # A word is a run of characters other than ASCII white space (fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,6 +38,19 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return tagged(df, **names).select(*names)
 
 
+def fresh_folder(spark: SparkSession, kind: str) -> str:
+    """The name of a new folder in the session's shared checkpoint folder."""
+    use_checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid4()}"
+
+
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """The rows as a written table in the shared folder: packed columns, short lineage."""
+    folder = fresh_folder(df.sparkSession, kind)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def per_worker(key, build: Callable):
     """What `build` returns, once per Python worker and key; one value is kept per kind (key[0])."""
     kind, rest = key

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, token_counts
+from fundlens.llm import byte_bpe, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, spelling, token_counts
 from fundlens.llm.common import table
 
 
@@ -51,6 +51,10 @@ def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def spelling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_mixing": mixing_query,
@@ -62,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shingle_join": shingle_join_query,
     "op9_language_id": language_id_query,
     "op10_neighbours": neighbours_query,
+    "op13_spelling": spelling_query,
 }
