@@ -51,4 +51,45 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
 """
 
-ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_exact_top_k": OP3}
+OP12 = """
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), p AS (
+  SELECT doc, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), s AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w
+), g AS (
+  SELECT lang, k, words[i:i + k - 1] AS phrase FROM s, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(words)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM f WHERE f >= 100
+), cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, n.n, l.f AS l, r.f AS r, l.k AS first,
+         CAST((1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM often c JOIN n ON c.lang = n.lang
+  JOIN often l ON l.lang = c.lang AND l.k < c.k AND l.phrase = c.phrase[1:l.k]
+  JOIN often r ON r.lang = c.lang AND r.k = c.k - l.k AND r.phrase = c.phrase[l.k + 1:c.k]
+  WHERE c.k > 1
+), least AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, first) = 1
+), inside AS (
+  SELECT lang, phrase[1:k - 1] AS phrase, f FROM often WHERE k > 2
+  UNION ALL SELECT lang, phrase[2:k], f FROM often WHERE k > 2
+), kept AS (
+  SELECT * FROM least c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.f >= c.a)
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+         array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+  FROM kept
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_exact_top_k": OP3, "op12_collocations": OP12}

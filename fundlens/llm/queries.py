@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path
 
-from fundlens.llm import byte_bpe, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, spelling, token_counts
+from fundlens.llm import (
+    byte_bpe, collocations, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, spelling,
+    token_counts, token_files)
 from fundlens.llm.common import table
 
 
@@ -51,6 +53,14 @@ def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+def collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def spelling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(table(spark, sf_dir, "documents"))
 
@@ -66,5 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shingle_join": shingle_join_query,
     "op9_language_id": language_id_query,
     "op10_neighbours": neighbours_query,
+    "op11_token_files": token_files_query,
+    "op12_collocations": collocations_query,
     "op13_spelling": spelling_query,
 }
