@@ -44,10 +44,10 @@ def fresh_folder(spark: SparkSession, kind: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid4()}"
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
+def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     """The rows as a written table in the shared folder: packed columns, short lineage."""
     folder = fresh_folder(df.sparkSession, kind)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -42,6 +42,9 @@ class Table:
             raise ValueError("the frequencies must sum to a power of two")
         self.bits = np.uint64(total.bit_length() - 1)
         self.starts = np.cumsum(self.frequencies) - self.frequencies
+        self.limits = self.frequencies << np.uint64(63) - self.bits  # a state at or above writes a word
+        self.place = np.full(int(self.ids[-1]) + 1, -1, np.int32)
+        self.place[self.ids] = np.arange(len(self.ids))
         self.symbol = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.frequencies.astype(np.int64))
 
     @classmethod
@@ -78,12 +81,14 @@ def _encode(blocks: list[np.ndarray], table: Table) -> list[bytes]:
     n, deep = len(blocks), int(steps.max(initial=0))
     symbols = np.full((n, deep * LANES), -1, np.int32)
     for i, ids in enumerate(blocks):
-        at = np.searchsorted(table.ids, ids)
-        if len(ids) and (at.max() >= len(table.ids) or (table.ids[at] != ids).any()):
+        if len(ids) and ids.max() >= len(table.place):
+            raise ValueError("an id is not in the table")
+        symbols[i, :len(ids)] = table.place[ids]
+        if (symbols[i, :len(ids)] < 0).any():
             raise ValueError("an id is not in the table")
-        symbols[i, :len(ids)] = at
     symbols = np.ascontiguousarray(symbols.reshape(n, deep, LANES).transpose(1, 0, 2).reshape(deep, n * LANES))
-    top = np.uint64(63) - table.bits
+    whole = int(sizes.min()) // LANES  # steps before this one have an id on every lane
+    every = np.arange(n * LANES)
     state = np.full(n * LANES, LOW, np.uint64)
     block_of = np.repeat(np.arange(n), LANES)
     written = np.zeros(n, np.int64)
@@ -91,19 +96,27 @@ def _encode(blocks: list[np.ndarray], table: Table) -> list[bytes]:
     states: list[list[np.ndarray]] = [[] for _ in blocks]
     places: list[list[int]] = [[] for _ in blocks]
     for step in range(deep - 1, -1, -1):
-        symbol = symbols[step]
-        lanes = np.flatnonzero(symbol >= 0)
-        s = symbol[lanes]
-        f, x = table.frequencies[s], state[lanes]
-        full = x >= f << top
-        if full.any():
+        s, lanes, x = symbols[step], every, state
+        if step >= whole:
+            lanes = np.flatnonzero(s >= 0)
+            s, x = s[lanes], state[lanes]
+        full = np.flatnonzero(x >= table.limits[s])
+        if len(full):
             # the decoder takes words lane by lane, so they are written in the opposite order
-            which = lanes[full][::-1]
+            which = lanes[full[::-1]]
             words.append((state[which] & MASK).astype(np.uint32))
             owners.append(block_of[which])
             written += np.bincount(owners[-1], minlength=n)
-            x = np.where(full, x >> WORD, x)
-        state[lanes] = (x // f << table.bits) + x % f + table.starts[s]
+            if step < whole:
+                x = x.copy()
+            x[full] >>= WORD
+        f = table.frequencies[s]
+        times = x // f
+        x = (times << table.bits) + (x - times * f) + table.starts[s]
+        if step < whole:
+            state = x
+        else:
+            state[lanes] = x
         if step % CHECKPOINT == 0:
             for i in np.flatnonzero(steps > step):
                 states[i].append(state[i * LANES:(i + 1) * LANES].copy())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import fresh_folder, per_worker, pick
+from fundlens.llm.common import fresh_folder, per_worker, pick, stored
 from fundlens.llm.rans import IDS_TOGETHER, Table, decode, encode
 from fundlens.llm.runs import slices
 from fundlens.llm.word_ids import Encoder
@@ -35,33 +35,55 @@ def _encoder(spark: SparkSession, path: str, end_id: int):
     return lambda: per_worker(("word_ids", (key, end_id)), lambda: Encoder(sent.value, end_id))
 
 
-def id_counts(rows: DataFrame, encoder) -> Table:
-    """The frequency table of all texts' ids; the driver gets one row per id that occurs."""
+def tokenized(rows: DataFrame, encoder) -> DataFrame:
+    """doc_id, hash (of the text) and ids, packed as little-endian numbers of 2 bytes, or of 4
+    where an id needs them: a written table."""
 
     def run(batches):
-        total = np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch):
-                n = np.bincount(np.concatenate([*encoder().encode(part.column("text")), np.empty(0, np.uint32)]))
-                if len(n) > len(total):
-                    n, total = total, n
-                total[:len(n)] += n
+                ids = encoder().encode(part.column("text"))
+                narrow = [i.astype("<u2" if not len(i) or i.max() < 1 << 16 else "<u4") for i in ids]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), part.column("hash"), pa.array([i.itemsize == 4 for i in narrow]),
+                    pa.array([i.tobytes() for i in narrow], pa.binary())], ["doc_id", "hash", "wide", "ids"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    return stored(hashed.mapInArrow(run, f"doc_id {kind}, hash long, wide boolean, ids binary"), "tokens", compression="zstd")
+
+
+def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b, "<u4" if w else "<u2").astype(np.uint32)
+            for b, w in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist())]
+
+
+def id_counts(tokens: DataFrame) -> Table:
+    """The frequency table of all ids; the driver gets one row per id that occurs."""
+
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            n = np.bincount(np.concatenate([*_unpacked(batch), np.empty(0, np.uint32)]))
+            if len(n) > len(total):
+                n, total = total, n.astype(np.int64)
+            total[:len(n)] += n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    counts = rows.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    counts = tokens.select("wide", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return Table([0], [1])
     return Table.of_counts(counts["id"].to_numpy(), counts["n"].to_numpy())
 
 
-def in_order(rows: DataFrame) -> DataFrame:
-    """Rows sorted by id (nulls first), rows of one id by a hash of their text.
+def in_order(tokens: DataFrame) -> DataFrame:
+    """Rows sorted by id (nulls first), rows of one id by the hash of their text.
 
     Where rows come from is the last key, so that many equal rows spread over tasks.
     """
-    keyed = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_place", F.monotonically_increasing_id())
-    return keyed.orderBy(F.asc_nulls_first("doc_id"), "_hash", "_place").select("doc_id", "text")
+    placed = tokens.withColumn("place", F.monotonically_increasing_id())
+    return placed.orderBy(F.asc_nulls_first("doc_id"), "hash", "place").select("doc_id", "wide", "ids")
 
 
 def write(df: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID,
@@ -70,16 +92,16 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID,
 
     A null or empty text has the end id alone. Null ids come first; rows of one id are all
     written, in the order of a hash of their texts. An empty table gives files without blocks.
-    Texts are read whole at any length, twice: once for the table, and once, shuffled by id,
-    for the blocks. Strings of special tokens in a text are those tokens, the library's default.
+    Texts are read whole at any length, once; their ids are stored, counted for the table, and
+    shuffled by id for the blocks. Strings of special tokens in a text are those tokens, the
+    library's default.
     """
     spark = df.sparkSession
-    encoder = _encoder(spark, tokenizer_path, end_id)
-    rows = pick(df, doc_id=id_column, text=text_column)
-    table = id_counts(rows, encoder)
+    tokens = tokenized(pick(df, doc_id=id_column, text=text_column), _encoder(spark, tokenizer_path, end_id))
+    table = id_counts(tokens)
     spark.createDataFrame(pa.table({"id": pa.array(table.ids.astype(np.int64)), "frequency": pa.array(table.frequencies.astype(np.int64))})
                           ).coalesce(1).write.parquet(f"{folder}/table")
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         from pyspark import TaskContext
@@ -104,22 +126,21 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID,
         doc_type = pa.null()
         for batch in batches:
             doc_type = batch.column("doc_id").type
-            for piece in slices(batch):
-                for doc_id, found in zip(piece.column("doc_id"), encoder().encode(piece.column("text"))):
-                    doc_ids.append(doc_id)
-                    ids.append(found)
-                    held += len(found)
-                    if held >= BLOCK_IDS:
-                        close()
-                        if total >= IDS_TOGETHER:
-                            yield rows_of(waiting)
-                            waiting, total = [], 0
+            for doc_id, found in zip(batch.column("doc_id"), _unpacked(batch)):
+                doc_ids.append(doc_id)
+                ids.append(found)
+                held += len(found)
+                if held >= BLOCK_IDS:
+                    close()
+                    if total >= IDS_TOGETHER:
+                        yield rows_of(waiting)
+                        waiting, total = [], 0
         if ids:
             close()
         if waiting:
             yield rows_of(waiting)
 
-    blocks = in_order(rows).mapInArrow(
+    blocks = in_order(tokens).mapInArrow(
         run, f"part int, block long, n_ids long, doc_ids array<{kind}>, lengths array<long>, data binary")
     blocks.write.parquet(f"{folder}/blocks")
     # one row per part

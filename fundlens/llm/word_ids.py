@@ -1,7 +1,7 @@
 """Token ids of texts, for a byte-level BPE tokenizer with word ends over lower-cased words.
 
-A text of Latin-1 characters is cut into words by array operations on its bytes; the tokenizer
-encodes each distinct word once. Other texts, and texts that hold a special token's string, are
+A text of Latin-1 characters is cut into words by array operations on its bytes; the tokenizer's
+model merges each distinct word once. Other texts, and texts that hold a special token's string, are
 encoded by the tokenizer as they are.
 """
 
@@ -10,17 +10,22 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
+from fundlens.llm.pretokens import byte_alphabet
 from fundlens.llm.runs import borders, coded, extents, flat
 
 # Words a worker remembers, and the longest (in bytes).
 MAX_REMEMBERED = 400_000
 MAX_REMEMBERED_BYTES = 64
+# New words that the tokenizer gets at once.
+WORDS_TOGETHER = 4096
 
 SPACE, LETTER, DIGIT, OTHER = range(4)
 # The word pattern that the array operations below follow.
@@ -46,7 +51,7 @@ def check_supported(spec: str) -> None:
     split, byte_level = parsed["pre_tokenizer"]["pretokenizers"]
     if not (steps == ["NFC", "Replace", "Lowercase"] and cleaning[1]["content"] == " " and split["pattern"]["Regex"] == WORDS
             and split["invert"] and not byte_level["add_prefix_space"] and parsed["model"]["type"] == "BPE"
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in parsed["added_tokens"])):
+            and parsed["model"]["end_of_word_suffix"] and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in parsed["added_tokens"])):
         raise ValueError("only lower-casing BPE tokenizers with this word pattern are supported")
 
 
@@ -95,6 +100,13 @@ class Encoder:
         self.end_id = end_id
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        # the same model without the steps before it: words come cut and lower-cased
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        self.alphabet = {byte: c for c, byte in byte_alphabet().items() if byte != 0x20}
+        suffix = json.loads(spec)["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -104,10 +116,25 @@ class Encoder:
         """Packed ids of each word."""
         if len(self.known) > MAX_REMEMBERED:
             self.known.clear()
-        new = [w for w in distinct if w not in self.known]
-        found = dict(zip(new, (ids.tobytes() for ids in self.library([w.decode() for w in new])))) if new else {}
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= MAX_REMEMBERED_BYTES)
-        return [self.known[w] if w in self.known else found[w] for w in distinct]
+        out = list(map(self.known.get, distinct))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        for k in range(0, len(new), WORDS_TOGETHER):
+            part = new[k:k + WORDS_TOGETHER]
+            for i, ids in zip(part, self.joined([distinct[i] for i in part])):
+                out[i] = ids
+        self.known.update((distinct[i], out[i]) for i in new if len(distinct[i]) <= MAX_REMEMBERED_BYTES)
+        return out
+
+    def joined(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words that the merging model gets as one text, its bytes in the model's
+        alphabet: a word's last id, and no other, is that of a token with a word end."""
+        text = b" ".join(words).decode("latin-1").translate(self.alphabet)
+        ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        if len(ends) != len(words) or ends[-1] != 4 * len(ids):
+            return [i.tobytes() for i in self.library([w.decode() for w in words])]
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in pairwise([0, *ends.tolist()])]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids (uint32) of each text, with the end id behind; nulls are empty texts."""
@@ -130,8 +157,16 @@ class Encoder:
         begin = np.cumsum(sizes) - sizes
         joined = np.frombuffer(b"".join(packed), np.uint32)
         many = sizes[codes]
-        shift = np.cumsum(many) - many
-        ids = joined[np.repeat(begin[codes] - shift, many) + np.arange(int(many.sum()))]
+        place = np.cumsum(many) - many
+        ids = np.empty(int(many.sum()), np.uint32)
+        at = np.flatnonzero(many)
+        for k in range(int(many.max(initial=0))):  # the k-th id of all words that have one
+            at = at[many[at] > k]
+            if len(at) < 64:
+                for w in at.tolist():
+                    ids[place[w] + k:place[w] + many[w]] = joined[begin[codes[w]] + k:begin[codes[w]] + many[w]]
+                break
+            ids[place[at] + k] = joined[begin[codes[at]] + k]
         # words per text, then ids per text
         last = np.searchsorted(starts, offsets[1:])
         per_text = np.diff(np.append(0, np.append(0, np.cumsum(many))[last]))
