@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame
 from fundlens.llm.common import per_worker, pick
 from fundlens.llm.pretokens import split
 
-# Words read together, words per recursive query, tokens per decoding query, and words a worker remembers.
+# Words read together, words per recursive query, rows of all its rounds at most (a word of n
+# bytes has up to n * n), tokens per decoding query, and words a worker remembers.
 WORDS_PER_CHUNK = 200_000
 WORDS_PER_QUERY = 20_000
+ROWS_PER_QUERY = 2_000_000
 TOKENS_PER_QUERY = 500_000
 MAX_REMEMBERED = 600_000
 # Longer words (bytes) are merged with a heap: the recursion contracts one pair per round, so
@@ -53,8 +55,8 @@ USING (word, depth) ORDER BY word, pos
 """
 
 DECODE_SQL = """
-SELECT doc, string_agg(hex, '') AS hex
-FROM (SELECT doc, hex FROM tokens JOIN vocabulary USING (id) ORDER BY doc, pos) GROUP BY doc
+SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex
+FROM tokens JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
@@ -153,11 +155,22 @@ class Codec:
                 found[word] = self.merge_long(raw).tobytes()
             else:
                 rest.append((word, raw))
-        for i in range(0, len(rest), WORDS_PER_QUERY):
-            block = rest[i:i + WORDS_PER_QUERY]
+        for block in self.blocks(rest):
             found.update(zip((word for word, _ in block), self.merge([raw for _, raw in block])))
         return found
 
+    @staticmethod
+    def blocks(words: list[tuple[str, bytes]]):
+        """Words that one recursive query can take within its rows."""
+        rows = first = 0
+        for i, (_, raw) in enumerate(words):
+            rows += len(raw) ** 2
+            if i > first and (rows > ROWS_PER_QUERY or i - first >= WORDS_PER_QUERY):
+                yield words[first:i]
+                rows, first = len(raw) ** 2, i
+        if first < len(words):
+            yield words[first:]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the new words of a bounded number of words are merged together."""
         parts: list[list[bytes]] = [[] for _ in texts]

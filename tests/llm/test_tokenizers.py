@@ -105,6 +105,16 @@ def test_recursion_and_heap_agree_with_the_library(tik):
             assert c.merge_long(word.encode()).tolist() == ids
 
 
+@pytest.mark.parametrize("count,length", [(600, 390), (20_000, 70), (2_000, 400), (1, 100_000)])
+def test_many_long_words_stay_within_memory(tik, count, length):
+    rng = random.Random(count)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=length)) for _ in range(count))
+    c = codec()
+    (ids,) = c.encode([text])
+    assert ids.tolist() == tik.encode_ordinary(text)
+    assert c.decode([ids]) == [text.encode()]
+
+
 def test_decode_refuses_unknown_ids():
     with pytest.raises(ValueError):
         codec().decode([byte_bpe.np.array([10**6], "i4")])
