@@ -10,7 +10,7 @@ from public_tokenizers import path
 from fundlens.llm import (
     byte_bpe, collocations, language_id, log_bilinear, mixing, multi_index, secret_scan, segment_topk, sharding, shingle_join, spelling,
     token_counts, token_files)
-from fundlens.llm.common import table
+from fundlens.llm.common import fresh_folder, table
 
 
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(table(spark, sf_dir, "documents"))
+    return sharding.assign(table(spark, sf_dir, "documents"), map_folder=fresh_folder(spark, "shards"))
 
 
 def exact_top_k_query(spark: SparkSession, sf_dir: str) -> DataFrame:

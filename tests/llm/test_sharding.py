@@ -49,3 +49,31 @@ def test_maps_change_only_where_needed(spark, tmp_path):
     sharding.write_map(spark, str(tmp_path), 1, old)
     sharding.write_map(spark, str(tmp_path), 2, new)
     assert sharding.read_map(spark, str(tmp_path), 1) == old and sharding.read_map(spark, str(tmp_path), 2) == new
+
+
+def test_equal_rows_spread(spark, monkeypatch):
+    """2,000 rows alike in all columns, beside others."""
+    monkeypatch.setattr(sharding, "EQUAL_AT_ONCE", 300)
+    df = spark.range(20_000).selectExpr("IF(id < 2000, NULL, id) AS doc_id", "IF(id < 2000, 'same', repeat('x', 20)) AS text")
+    rows = sharding.assign(df).collect()
+    check(df, rows)
+    same, held = Counter(r.shard for r in rows if r.doc_id is None), Counter()
+    for r in rows:
+        held[r.shard] += r.size
+    assert len(same) == 40 and max(same.values()) < 200
+    mean = sum(held.values()) / 40
+    assert max(held.values()) < 1.01 * mean and min(held.values()) > 0.99 * mean
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    folder = str(tmp_path / "map")
+    df = spark.range(20_000).selectExpr("id AS doc_id", "repeat('x', cast(id % 700 as int)) AS text")
+    first = {r.doc_id: r.shard for r in sharding.assign(df, map_folder=folder).collect()}
+    assert sharding.newest_version(spark, folder) == 2
+    assert {r.doc_id: r.shard for r in sharding.assign(df, map_folder=folder).collect()} == first
+    # a tenth more rows: most stay where they were
+    more = df.union(spark.range(20_000, 22_000).selectExpr("id AS doc_id", "repeat('y', 900) AS text"))
+    rows = sharding.assign(more, map_folder=folder).collect()
+    check(more, rows)
+    assert sum(first.get(r.doc_id, r.shard) != r.shard for r in rows) < 2_000
+    assert sharding.newest_version(spark, folder) == 3 and sharding.read_map(spark, folder, 1) == sharding.first_map(sharding.SLOTS, 40)
