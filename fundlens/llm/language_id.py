@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.llm.common import doc_fold, pick, tagged, untagged
+from fundlens.llm.runs import slices
 from fundlens.session import materialize
 
 ORDER = 3
@@ -32,23 +34,25 @@ MIN_SEEN = 20
 # Different grams a task counts per language before it passes them on.
 GRAMS_IN_TASK = 1_000_000
 # Bytes a task counts or scores together; longer texts are cut in pieces that overlap by ORDER.
+# Scoring holds some ten numbers per byte, counting merges its counts with those so far.
 BYTES_AT_ONCE = 2 << 20
+SCORED_AT_ONCE = 256 << 10
 
 
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def pieces(texts: list[bytes]):
-    """Lists of (position of text, context length, bytes), each list of bounded size."""
+def pieces(texts: list[bytes], limit: int):
+    """Lists of (position of text, context length, bytes), each list of some `limit` bytes."""
     group, size = [], 0
     for i, text in enumerate(texts):
-        for start in range(0, len(text), BYTES_AT_ONCE):
+        for start in range(0, len(text), limit):
             head = min(start, ORDER)
-            part = text[start - head:start + BYTES_AT_ONCE]
+            part = text[start - head:start + limit]
             group.append((i, head, part))
             size += len(part)
-            if size >= BYTES_AT_ONCE:
+            if size >= limit:
                 yield group
                 group, size = [], 0
     if group:
@@ -82,7 +86,7 @@ class Tally:
         self.values, self.n = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def add(self, texts: list[bytes]) -> None:
-        for group in pieces(texts):
+        for group in pieces(texts, BYTES_AT_ONCE):
             data, at, _ = joined(group)
             values, n = np.unique(grams(data, at), return_counts=True)
             every, where = np.unique(np.concatenate([self.values, values]), return_inverse=True)
@@ -100,7 +104,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         tallies: dict[str, Tally] = {}
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             langs = np.array(batch.column("lang").to_pylist(), object)
             texts = np.array([t.encode() for t in batch.column("text").to_pylist()], object)
             for lang in set(langs):
@@ -214,7 +218,7 @@ class Model:
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
         out = np.zeros((len(texts), len(self.langs)))
-        for group in pieces(texts):
+        for group in pieces(texts, min(BYTES_AT_ONCE, SCORED_AT_ONCE)):
             data, at, owner = joined(group)
             symbol = self.symbol[data]
             node = np.zeros(len(at), np.int32)
@@ -273,7 +277,7 @@ def identify(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     predict = _predictor(df.sparkSession, train(rows.where(~held_out)))
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             langs, scores = predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -286,15 +290,22 @@ def identify(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 def identified(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                lang_column: str = "lang") -> DataFrame:
-    """The rows of df, with all columns, whose language `identify` knows."""
+    """The rows of df, with all columns, whose language `identify` knows; a null language becomes
+    the one it predicts.
+
+    Null texts and texts without a letter go, and all rows if there is nothing to learn from.
+    Repeated rows and null ids are treated as by `identify`; an empty table gives no rows.
+    """
     named = tagged(df, doc_id=id_column, text=text_column, lang=lang_column)
     learn = named.where(doc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     predict = _predictor(df.sparkSession, train(learn))
     rows = named.drop("doc_id", "lang")
+    at = df.columns.index(lang_column)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             langs, _ = predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+            filled = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), pa.array(langs, batch.column(at).type)))
+            yield filled.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
 
     return untagged(rows.mapInArrow(run, rows.schema), df)
