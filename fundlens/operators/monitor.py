@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,6 +63,10 @@ def watermarks(
         F.max("date").alias("latest_date"),
         F.count(F.lit(1)).alias("record_count"),
     )
+    return named_spans(spans, constituents, sort, ascending)
+
+
+def named_spans(spans: DataFrame, constituents: DataFrame, sort: str | None, ascending: bool) -> DataFrame:
     dim = constituents.select(F.col("id").alias("constituent_id"), "ticker", "sector")
     rows = spans.join(dim, "constituent_id").select(
         "ticker", "sector", "earliest_date", "latest_date", "record_count"
@@ -74,6 +78,10 @@ def lagging_tickers(prices: DataFrame, constituents: DataFrame, dates: DataFrame
     """Securities whose newest date is before the newest date of the table."""
     newest = (prices if dates is None else dates).agg(F.max("date")).scalar()
     latest = prices.groupBy("constituent_id").agg(F.max("date").alias("latest_date"))
+    return behind(latest, newest, constituents)
+
+
+def behind(latest: DataFrame, newest: Column, constituents: DataFrame) -> DataFrame:
     dim = constituents.select(F.col("id").alias("constituent_id"), "ticker")
     return latest.where(F.col("latest_date") < newest).join(dim, "constituent_id").select("ticker", "latest_date")
 
@@ -89,16 +97,19 @@ def landing_status(files: DataFrame) -> DataFrame:
 def ingest_status(prices: DataFrame, files: DataFrame, by: str = "constituent_id") -> DataFrame:
     """One row: freshness, counts, lagging tickers and landing files. Healthy means
     nothing is pending, whatever the lag."""
-    latest = prices.groupBy(by).agg(F.max("date").alias("latest")).groupBy("latest").agg(
-        F.count(F.lit(1)).alias("tickers")
-    )
+    return status(prices.groupBy(by).agg(F.max("date").alias("latest")), _days(prices), files)
+
+
+def status(newest: DataFrame, day_counts: DataFrame, files: DataFrame) -> DataFrame:
+    """ingest_status from each security's newest date (`latest`), the rows of each day, and the files."""
+    latest = newest.groupBy("latest").agg(F.count(F.lit(1)).alias("tickers"))
     tickers = latest.agg(
         F.coalesce(F.sum("tickers"), F.lit(0)).alias("total_tickers"),
         (F.coalesce(F.sum("tickers"), F.lit(0)) - F.coalesce(F.max_by("tickers", "latest"), F.lit(0))).alias(
             "lagging_tickers"
         ),
     )
-    days = _days(prices).agg(
+    days = day_counts.agg(
         F.max("date").alias("high_watermark"),
         F.min("date").alias("min_date"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fundlens.operators import load, monitor, quality
 from fundlens.sources import files
 from fundlens.sources.landing import ARRIVAL_OVER_FILES, price_file_rows
-from fundlens.sources.tables import drop_all, read_table, require_last, write_and_read, write_load
+from fundlens.plans.incremental_load import stored_among
+from fundlens.sources.loads import Load
 from fundlens.session import use_checkpoint_folder
 
 
@@ -25,42 +26,42 @@ def run_batch_load(
     tables below `root`; returns the table statistics afterwards.
 
     load_prices=False leaves prices alone, etf_name restricts the weight files by a
-    part of their name, fresh empties the tables first. Running it again adds
+    part of their name, fresh empties the tables in the same step. Nothing is seen before all
+    of it is. Running it again adds
     nothing: rows, tickers and files already there are recognised. Every row read is
     stored or in `rejected_rows`, and every weight file is in etf_uploads or file_issues.
     A load id that does not sort after those stored is refused.
     """
     use_checkpoint_folder(spark)
-    if fresh:
-        drop_all(spark, root)
-    require_last(spark, root, load_id)
+    to = Load(spark, root, load_id, empties=fresh)
+    to.require_last()
     raw = None
     if load_prices:
-        raw = write_and_read(price_file_rows(spark, f"{source}/prices.csv"), root, "staged", load_id)
-    load_dimension(spark, source, root, load_id, raw)
+        raw = to.write_and_read(price_file_rows(spark, f"{source}/prices.csv"), "staged")
+    load_dimension(to, source, raw)
     if raw is not None:
-        load_price_rows(spark, root, load_id, raw)
-    load_weights(spark, source, root, load_id, etf_name)
-    return monitor.db_stats(*[read_table(spark, root, t) for t in ("constituents", "prices", "etf_uploads", "etf_holdings")])
+        load_price_rows(to, raw)
+    load_weights(to, source, etf_name)
+    to.commit()
+    return monitor.db_stats(*[to.now(t) for t in ("constituents", "prices", "etf_uploads", "etf_holdings")])
 
 
-def load_dimension(spark, source, root, load_id, raw: DataFrame | None) -> None:
-    listed = files.read_constituents(spark, f"{source}/constituents.csv")
+def load_dimension(to: Load, source: str, raw: DataFrame | None) -> None:
+    listed = files.read_constituents(to.spark, f"{source}/constituents.csv")
     if listed is None:
         if raw is None:
             return
         listed = files.tickers_of(raw.where(F.col("ticker").isNotNull()))
     numbered = listed.withColumn("row", F.monotonically_increasing_id())
     arrival = [c for c in ARRIVAL_OVER_FILES if c in numbered.columns]
-    existing = read_table(spark, root, "constituents", without=load_id)
-    write_load(load.upsert_constituents(existing, numbered, arrival), root, "constituents", load_id)
+    to.write(load.upsert_constituents(to.read("constituents"), numbered, arrival), "constituents")
 
 
-def load_price_rows(spark, root, load_id, raw: DataFrame) -> None:
-    constituents = read_table(spark, root, "constituents")
-    present = read_table(spark, root, "prices", without=load_id)
-    labelled = write_and_read(label_known(label_batch(raw), constituents, present), root, "labelled", load_id)
-    write_load(files.as_price_table(labelled.where(F.col("issue").isNull()), constituents), root, "prices", load_id)
+def load_price_rows(to: Load, raw: DataFrame) -> None:
+    constituents = to.now("constituents")
+    keys = raw.join(constituents.select("ticker", F.col("id").alias("constituent_id")), "ticker").select("constituent_id", "date")
+    labelled = to.write_and_read(label_known(label_batch(raw), constituents, stored_among(to, keys)), "labelled")
+    to.write(files.as_price_table(labelled.where(F.col("issue").isNull()), constituents), "prices")
 
 
 def label_known(labelled: DataFrame, constituents: DataFrame, present: DataFrame) -> DataFrame:
@@ -80,17 +81,18 @@ def label_batch(raw: DataFrame) -> DataFrame:
     return checked.unionByName(raw.where(F.col("issue").isNotNull()), allowMissingColumns=True)
 
 
-def load_weights(spark, source, root, load_id, etf_name: str) -> None:
+def load_weights(to: Load, source: str, etf_name: str) -> None:
+    spark = to.spark
     names = files.weight_file_names(spark, source, etf_name)
     lines = files.weight_lines(spark, source, etf_name)
     broken = lines.where(~F.col("valid")).select("file").distinct()
     rows, headers = files.weight_rows(lines.join(broken, "file", "left_anti"))
-    uploads = read_table(spark, root, "etf_uploads", without=load_id)
-    loaded, holdings = load.load_portfolios(rows, read_table(spark, root, "constituents"), uploads)
-    write_load(loaded.withColumn("uploaded_at", F.current_timestamp()), root, "etf_uploads", load_id)
-    write_load(holdings, root, "etf_holdings", load_id)
+    uploads = to.read("etf_uploads")
+    loaded, holdings = load.load_portfolios(rows, to.now("constituents"), uploads)
+    to.write(loaded.withColumn("uploaded_at", F.current_timestamp()), "etf_uploads")
+    to.write(holdings, "etf_holdings")
     mark = lambda df, name: df.select("file", F.lit(True).alias(name)).distinct()
-    stored = read_table(spark, root, "etf_uploads").join(uploads.select("filename"), "filename", "left_anti")
+    stored = to.now("etf_uploads").join(uploads.select("filename"), "filename", "left_anti")
     seen = (
         names.join(mark(uploads.withColumnRenamed("filename", "file"), "_already"), "file", "left")
         .join(mark(stored.withColumnRenamed("filename", "file"), "_stored"), "file", "left")
@@ -104,4 +106,4 @@ def load_weights(spark, source, root, load_id, etf_name: str) -> None:
         .when(F.col("rows").isNull(), "no_rows").otherwise("broken_row")
     )
     issues = seen.where(F.col("_stored").isNull()).select("file", rule.alias("rule"), F.coalesce("rows", F.lit(0)).alias("rows"))
-    write_load(issues, root, "file_issues", load_id)
+    to.write(issues, "file_issues")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.functions.display import format_percent
-from fundlens.operators import load, market, monitor, portfolio, quality
+from fundlens.operators import load, market, monitor, packed, portfolio, quality, summaries
+from fundlens.plans import changes
 from fundlens.plans.star_schema import TRADE_ORDER, Market
 from fundlens.sources.files import wide_to_long as unpivot_closes
+from fundlens.sources.summaries import day_summary, security_summary
+from fundlens.sources.tables import read_loads, read_table
 from fundlens.sources.vendor import vendor_slice as slice_bars
 from fundlens.sources.vendor import vendor_wide_to_long as unpivot_bars
 
@@ -304,6 +308,71 @@ def ingest_status(m):
     return monitor.ingest_status(m.prices, m.landing_files)
 
 
+# -- tables as loads commit them -----------------------------------------------
+
+def rows_by_version(m):
+    """What a reader of each version sees; version 2 holds the first run of a load that version 3 replaces."""
+    parts = [
+        read_table(m.spark, m.price_loads, "prices", version=v).agg(
+            F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("rows"),
+            F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+        for v in (1, 2, 3, 4)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rows_by_load(m):
+    return read_loads(m.spark, m.price_loads, "prices").groupBy("load_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume"))
+
+
+def kept_watermarks(m):
+    return summaries.watermarks(security_summary(m.spark, m.price_loads), m.constituents)
+
+
+def kept_lagging_tickers(m):
+    return summaries.lagging_tickers(security_summary(m.spark, m.price_loads), m.constituents)
+
+
+def kept_latest_state(m):
+    return _named(m, summaries.latest_state(security_summary(m.spark, m.price_loads)))
+
+
+def kept_ingest_status(m):
+    return summaries.ingest_status(
+        security_summary(m.spark, m.price_loads), day_summary(m.spark, m.price_loads), m.landing_files)
+
+
+def possibly_stored(m):
+    """Keys shifted by a week, as far as the summary of an older version cannot rule them out."""
+    keys = m.prices.select("constituent_id", F.date_add("date", 7).alias("date"))
+    return summaries.possibly_stored(keys, security_summary(m.spark, m.price_loads, version=2))
+
+
+def newest_candles(m):
+    return market.ohlcv_tail(changes.newest_rows(m.spark, m.price_loads, 60), 60)
+
+
+def maintained_averages(m):
+    """A moving average kept over commits: version 2's result, and what changed since."""
+    average = lambda prices: market.moving_average(prices, 5)
+    first = changes.first_changes(changes.changed_keys(m.spark, m.price_loads, 2))
+    new = changes.recomputed_windows(m.spark, m.price_loads, first, 4, average)
+    return changes.maintained_windows(average(read_table(m.spark, m.price_loads, "prices", version=2)), new, first)
+
+
+def maintained_series(m):
+    """Portfolio series kept over commits: version 2's result, and what changed since."""
+    points = changes.reached(changes.changed_keys(m.spark, m.price_loads, 2), m.holdings)
+    new = changes.recomputed_series(m.spark, m.price_loads, points, m.holdings)
+    old = portfolio.portfolio_series(read_table(m.spark, m.price_loads, "prices", version=2), m.holdings)
+    return changes.maintained_series(old, new, points)
+
+
+def packed_correlation(m):
+    return packed.price_correlation(m.prices, m.pairs, m.constituents.count())
+
+
 _QUERIES = (
     scan_prices, scan_constituents, scan_weights, pivot_close, wide_to_long, vendor_slice, vendor_wide_to_long,
     feed_first_n_days,
@@ -316,6 +385,8 @@ _QUERIES = (
     high_watermark, admit_new_rows, landing_labels, append_new, incremental_summary, upsert_constituents,
     portfolio_headers, load_portfolios,
     db_stats, profile, watermarks, lagging_tickers, landing_status, ingest_status,
+    rows_by_version, rows_by_load, kept_watermarks, kept_lagging_tickers, kept_latest_state, kept_ingest_status,
+    possibly_stored, packed_correlation, newest_candles, maintained_averages, maintained_series,
 )
 
 

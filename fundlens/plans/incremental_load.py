@@ -5,61 +5,82 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.operators import load, monitor
+from fundlens.operators import summaries
+from fundlens.operators.load import append_new, classify_landing, incremental_summary
 from fundlens.sources.files import as_price_table
 from fundlens.sources.landing import ARRIVAL, landing_files, list_files, parse_price_lines, price_lines
-from fundlens.sources.tables import read_loads, read_table, write_and_read, write_load
+from fundlens.sources.archive import handled_files
+from fundlens.sources.commits import snapshot
+from fundlens.sources.loads import Load
+from fundlens.sources.summaries import day_summary, security_summary
+from fundlens.sources.tables import read_loads, read_table
 
 
-def ticker_watermarks(spark: SparkSession, root: str, without: str | None = None) -> DataFrame:
-    """Newest loaded date per ticker, from the price table; see read_table for `without`."""
-    by_id = load.high_watermark(read_table(spark, root, "prices", without))
-    names = read_table(spark, root, "constituents").select(F.col("id").alias("constituent_id"), "ticker")
+def ticker_watermarks(load: Load) -> DataFrame:
+    """Newest date per ticker that other loads hold, from the summaries of the price table."""
+    by_id = summaries.high_watermark(load.securities())
+    names = load.read("constituents").select(F.col("id").alias("constituent_id"), "ticker")
     return by_id.join(names, "constituent_id").select("ticker", "wm")
 
 
-def load_rows(spark: SparkSession, root: str, load_id: str, rows: DataFrame, watermarks: DataFrame) -> DataFrame:
-    """Validate, admit and write parsed landing rows; returns the one-row summary.
+def load_rows(load: Load, rows: DataFrame, watermarks: DataFrame, whole: bool = True) -> DataFrame:
+    """Validate, admit and write parsed landing rows, and commit; returns the one-row summary.
 
-    Everything goes to this load's own folders in overwrite mode, so a repeat leaves
-    the tables as the first run did. The run record comes last.
+    Nothing is seen before the commit, and a repeated load takes the place of its first run.
+    `whole`: store the watermarks of all tickers, else of those that the rows move.
     """
-    constituents = read_table(spark, root, "constituents")
-    rows = write_and_read(rows, root, "staged", load_id)
-    verdicts = load.classify_landing(rows, watermarks, constituents, arrival=ARRIVAL)
+    constituents = load.read("constituents")
+    rows = load.write_and_read(rows, "staged")
+    verdicts = classify_landing(rows, watermarks, constituents, arrival=ARRIVAL)
     mismatch = F.coalesce((F.col("low") > F.col("close")) | (F.col("high") < F.col("close")), F.lit(False))
-    labelled = write_and_read(verdicts.withColumn("ohlc_mismatch", mismatch), root, "labelled", load_id)
+    labelled = load.write_and_read(verdicts.withColumn("ohlc_mismatch", mismatch), "labelled")
     fresh = as_price_table(labelled.where(F.col("issue").isNull()).drop("issue"), constituents)
-    write_load(_not_loaded(spark, root, load_id, fresh), root, "prices", load_id)
-    write_load(next_watermarks(labelled, watermarks), root, "watermarks", load_id)
+    load.write(_not_loaded(load, fresh), "prices")
+    load.write(*(next_watermarks(labelled, watermarks), "watermarks") if whole else (moved_watermarks(labelled), "watermark_changes"))
     passed = F.col("issue").isNull() | F.col("issue").isin("duplicate", "unknown_ticker")
     handled = labelled.groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(passed).alias("passed"),
         F.count_if(F.col("issue").isNull()).alias("inserted"),
     )
-    write_load(handled, root, "files", load_id)
-    summary = load.incremental_summary(labelled, watermarks).withColumn("finished_at", F.current_timestamp())
-    write_load(summary, root, "runs", load_id)
+    load.write(handled, "files")
+    summary = incremental_summary(labelled, watermarks).withColumn("finished_at", F.current_timestamp())
+    load.write(summary, "runs")
+    load.commit()
     return summary
 
 
-def _not_loaded(spark, root, load_id, fresh: DataFrame) -> DataFrame:
-    """Second guard besides the watermark: drop keys other loads hold. Only months the
-    new rows reach into are read."""
-    first = fresh.agg(F.date_format(F.min("date"), "yyyy-MM")).first()[0]
+def _not_loaded(load: Load, fresh: DataFrame) -> DataFrame:
+    """Second guard besides the watermark: drop keys other loads hold."""
+    return append_new(stored_among(load, fresh), fresh, ["constituent_id", "date"])
+
+
+def stored_among(load: Load, rows: DataFrame) -> DataFrame:
+    """Other loads' prices, as far as they may hold keys (constituent_id, date) of `rows`.
+
+    Only rows whose date lies within their security's stored dates can be stored already. Months
+    before and after theirs are not read; if there are none, as in plain appends, nothing is.
+    """
+    month = F.date_format("date", "yyyy-MM")
+    first, last = summaries.possibly_stored(rows, load.securities()).agg(F.min(month), F.max(month)).first()
     if first is None:
-        return fresh
-    present = read_loads(spark, root, "prices").where((F.col("month") >= first) & (F.col("load_id") != load_id))
-    return load.append_new(present, fresh, ["constituent_id", "date"])
+        return load.spark.createDataFrame([], load.others("prices").schema)
+    return load.others("prices").where(F.col("month").between(first, last))
+
+
+def moved_watermarks(labelled: DataFrame) -> DataFrame:
+    """The newest date of each ticker with rows that passed validation."""
+    passed = F.col("issue").isNull() | F.col("issue").isin("duplicate", "unknown_ticker")
+    return labelled.where(passed).groupBy("ticker").agg(F.max("date").alias("wm"))
+
+
+def newest_of(watermarks: DataFrame) -> DataFrame:
+    return watermarks.groupBy("ticker").agg(F.max("wm").alias("wm"))
 
 
 def next_watermarks(labelled: DataFrame, watermarks: DataFrame) -> DataFrame:
     """Watermarks after the rows that passed validation, one row per ticker ever seen."""
-    passed = F.col("issue").isNull() | F.col("issue").isin("duplicate", "unknown_ticker")
-    newest = labelled.where(passed).groupBy("ticker").agg(F.max("date").alias("_newest"))
-    merged = watermarks.join(newest, "ticker", "full_outer")
-    return merged.select("ticker", F.greatest("wm", "_newest").alias("wm"))
+    return newest_of(watermarks.unionByName(moved_watermarks(labelled)))
 
 
 def require_loaded(spark: SparkSession, root: str) -> None:
@@ -73,11 +94,12 @@ def run_incremental(
     """Handle all pending files of the landing folder in path order, in one job.
 
     dry_run returns the rows per pending file and loads nothing. Handled files are
-    remembered in the `files` table; a load that is repeated handles its files again.
+    remembered in the `files` table; a load that is repeated handles its files again. A file that
+    came after one of its name was archived is pending.
     """
     require_loaded(spark, root)
-    others = read_loads(spark, root, "files").where(F.col("load_id") != load_id)
-    waiting = list_files(spark, incoming).join(others.select("file").distinct(), "file", "left_anti")
+    load = Load(spark, root, load_id)
+    waiting = list_files(spark, incoming).join(handled_files(spark, root, load), "file", "left_anti")
     # File names only, the same list Spark's own file index keeps on the driver.
     pending = [r["path"] for r in waiting.select("path").collect()]
     if not pending:
@@ -85,7 +107,7 @@ def run_incremental(
     rows = parse_price_lines(price_lines(spark, pending), len(pending))
     if dry_run:
         return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
-    return load_rows(spark, root, load_id, rows, ticker_watermarks(spark, root, without=load_id))
+    return load_rows(load, rows, ticker_watermarks(load))
 
 
 def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -99,5 +121,19 @@ def recent_runs(spark: SparkSession, root: str, n: int = 100) -> DataFrame:
 
 
 def ingest_status(spark: SparkSession, root: str, incoming: str) -> DataFrame:
-    files = landing_files(list_files(spark, incoming), read_table(spark, root, "files"))
-    return monitor.ingest_status(read_table(spark, root, "prices"), files)
+    """Status of the tables and the landing folder, from the summaries: no price row is read."""
+    at = snapshot(spark, root)
+    files = landing_files(list_files(spark, incoming), read_table(spark, root, "files", at=at), handled_files(spark, root))
+    return summaries.ingest_status(security_summary(spark, root, at=at), day_summary(spark, root, at=at), files)
+
+
+def ticker_spans(spark: SparkSession, root: str, sort: str | None = None, ascending: bool = True) -> DataFrame:
+    """First and last date and row count of every ticker, from the summaries."""
+    at = snapshot(spark, root)
+    return summaries.watermarks(security_summary(spark, root, at=at), read_table(spark, root, "constituents", at=at), sort, ascending)
+
+
+def lagging_tickers(spark: SparkSession, root: str) -> DataFrame:
+    """Tickers whose newest date is before the newest of all, from the summaries."""
+    at = snapshot(spark, root)
+    return summaries.lagging_tickers(security_summary(spark, root, at=at), read_table(spark, root, "constituents", at=at))

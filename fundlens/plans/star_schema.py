@@ -12,8 +12,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlens import schema
 from fundlens.operators import load, portfolio
 from fundlens.operators.joins import MAX_BROADCAST_ROWS, few_rows
+from fundlens.session import fresh_folder
+from fundlens.sources.loads import write_load
 
 # Landing rules: events from FIRST_LANDING on arrive as files, those before LOADED_BEFORE are in the table.
 LOADED_BEFORE = "2024-01-06"
@@ -253,3 +256,19 @@ class Market:
             F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")).alias("industry"),
             "c_custkey",
         )
+
+    # -- the price table as loads commit it -----------------------------------
+
+    @cached_property
+    def price_loads(self) -> str:
+        """A root of tables with all bars, committed in three loads that interleave by month.
+
+        The second load is run twice: its first run holds the first days of its months only.
+        """
+        root = fresh_folder(self.spark, "tables")
+        bars = self.prices.select(*schema.PRICES.names)
+        third = F.month("date") % 3
+        early = (third == 1) & (F.dayofmonth("date") <= 10)
+        for load_id, part in (("p0", third == 0), ("p1", early), ("p1", third == 1), ("p2", third == 2)):
+            write_load(bars.where(part), root, "prices", load_id)
+        return root

@@ -105,10 +105,14 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
         raise
 
 
-def landing_files(listed: DataFrame, handled: DataFrame) -> DataFrame:
-    """(file, state) of the files in the landing folder and of those a load has handled."""
+def landing_files(listed: DataFrame, handled: DataFrame, present: DataFrame | None = None) -> DataFrame:
+    """(file, state) of the files in the landing folder and of those a load has handled.
+
+    `present`: those of the handled ones that have not been archived since.
+    """
     done = handled.select("file").distinct()
-    pending = listed.select("file").join(done, "file", "left_anti").withColumn("state", F.lit("pending"))
+    known = done if present is None else present.select("file").distinct()
+    pending = listed.select("file").join(known, "file", "left_anti").withColumn("state", F.lit("pending"))
     return pending.unionByName(done.withColumn("state", F.lit("processed")))
 
 

@@ -407,4 +407,18 @@ ORACLE: dict[str, str] = {
       (SELECT COUNT(*) FROM files WHERE state = 'pending') AS pending_files, (SELECT COUNT(*) FROM files WHERE state = 'processed') AS processed_files,
       (SELECT COUNT(*) FROM latest WHERE d < (SELECT MAX(date) FROM prices)) AS lagging_tickers,
       'Data is current through ' || CAST(MAX(date) AS VARCHAR) || '.' AS freshness_note FROM prices""",
+    "rows_by_version": _with(PRICES, "months AS (SELECT *, month(date) % 3 AS third FROM prices)") + """SELECT CAST(v AS BIGINT) AS version, COUNT(*) AS rows,
+      MIN(date) AS first_date, MAX(date) AS last_date
+      FROM months, (SELECT unnest([1, 2, 3, 4]) AS v)
+      WHERE third = 0 OR (third = 1 AND (v >= 3 OR (v = 2 AND day(date) <= 10))) OR (third = 2 AND v = 4) GROUP BY v""",
+    "rows_by_load": _with(PRICES) + """SELECT 'p' || CAST(month(date) % 3 AS VARCHAR) AS load_id, COUNT(*) AS rows, CAST(SUM(volume) AS BIGINT) AS volume
+      FROM prices GROUP BY month(date) % 3""",
+    "possibly_stored": _with(PRICES, "old AS (SELECT constituent_id, MIN(date) AS first, MAX(date) AS last FROM prices "
+                             "WHERE month(date) % 3 = 0 OR (month(date) % 3 = 1 AND day(date) <= 10) GROUP BY constituent_id)") + """SELECT constituent_id,
+      CAST(date + 7 AS DATE) AS date FROM prices JOIN old USING (constituent_id) WHERE date + 7 BETWEEN first AND last""",
 }
+# The same answers from kept summaries, packed series, backward reads and changes.
+ORACLE |= {f"kept_{name}": ORACLE[name] for name in ("watermarks", "lagging_tickers", "latest_state", "ingest_status")}
+ORACLE |= {kept: ORACLE[plain] for kept, plain in (
+    ("packed_correlation", "price_correlation"), ("newest_candles", "ohlcv_tail"), ("maintained_averages", "moving_average"),
+    ("maintained_series", "etf_series"))}

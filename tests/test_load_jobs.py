@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from fundlens.plans import incremental_load as inc
 from fundlens.plans.batch_load import run_batch_load
 from fundlens.plans.reports import market_reports, write_reports
-from fundlens.sources.tables import drop_all, read_loads, read_table, write_load
+from fundlens.sources.loads import Load, drop_all, write_load
+from fundlens.sources.tables import read_loads, read_table
 from fundlens.streaming.landing_stream import start_landing_stream
 
 HEADER = "date,ticker,open,high,low,close,volume\n"
@@ -206,14 +207,15 @@ def test_stream_equals_batch_twin(spark, root, tmp_path):
 
 def test_replayed_batch_changes_nothing(spark, root, tmp_path):
     from fundlens.sources.landing import parse_price_lines, price_lines
-    from fundlens.streaming.landing_stream import _watermarks_before, batch_load_id
+    from fundlens.streaming.landing_stream import batch_load_id, watermarks_before
 
     incoming = tmp_path / "incoming"
     land(incoming)
     for number in (0, 0, 1, 1):
         path = str(incoming / list(LANDING)[number])
         rows = parse_price_lines(price_lines(spark, path))
-        inc.load_rows(spark, root, batch_load_id("s", number), rows, _watermarks_before(spark, root, "s", number))
+        load = Load(spark, root, batch_load_id("s", number))
+        inc.load_rows(load, rows, watermarks_before(load, "s", number))
     assert stored(spark, root) == LOADED
 
 

@@ -71,7 +71,8 @@ def test_prices_fact_is_not_shuffled_to_join_a_small_dimension(plans):
 
 
 def test_filters_and_months_prune_stored_prices(spark, tmp_path):
-    from fundlens.sources.tables import read_loads, write_load
+    from fundlens.sources.loads import write_load
+    from fundlens.sources.tables import read_loads
 
     write_load(Market(spark, SF).prices, str(tmp_path), "prices", "b1")
     stored = read_loads(spark, str(tmp_path), "prices")
