@@ -35,7 +35,7 @@ MIN_SEEN = 20
 GRAMS_IN_TASK = 1_000_000
 # Bytes a task counts or scores together; longer texts are cut in pieces that overlap by ORDER.
 # Scoring holds some ten numbers per byte, counting merges its counts with those so far.
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 1 << 20
 SCORED_AT_ONCE = 256 << 10
 
 
@@ -104,7 +104,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         tallies: dict[str, Tally] = {}
-        for batch in (part for batch in batches for part in slices(batch)):
+        for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
             langs = np.array(batch.column("lang").to_pylist(), object)
             texts = np.array([t.encode() for t in batch.column("text").to_pylist()], object)
             for lang in set(langs):
@@ -277,7 +277,7 @@ def identify(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     predict = _predictor(df.sparkSession, train(rows.where(~held_out)))
 
     def run(batches):
-        for batch in (part for batch in batches for part in slices(batch)):
+        for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
             langs, scores = predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -303,7 +303,7 @@ def identified(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     at = df.columns.index(lang_column)
 
     def run(batches):
-        for batch in (part for batch in batches for part in slices(batch)):
+        for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
             langs, _ = predict(batch.column("text").to_pylist())
             filled = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), pa.array(langs, batch.column(at).type)))
             yield filled.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
