@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.session import use_checkpoint_folder
+from fundlens.session import fresh_folder
 
 # A word is a run of characters other than ASCII white space (fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,12 +38,6 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return tagged(df, **names).select(*names)
 
 
-def fresh_folder(spark: SparkSession, kind: str) -> str:
-    """The name of a new folder in the session's shared checkpoint folder."""
-    use_checkpoint_folder(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid4()}"
-
-
 def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     """The rows as a written table in the shared folder: packed columns, short lineage."""
     folder = fresh_folder(df.sparkSession, kind)
@@ -59,6 +53,13 @@ def per_worker(key, build: Callable):
     return _kept[kind][1]
 
 
+def forget_kept() -> None:
+    """Drop what tasks of other operators have left in this worker, before a task that needs the room."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     upper = "".join(map(chr, range(65, 91)))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import doc_fold, pick, tagged, untagged
+from fundlens.llm.common import doc_fold, forget_kept, pick, tagged, untagged
 from fundlens.llm.runs import slices
 from fundlens.session import materialize
 
@@ -103,6 +103,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
     """lang, gram, n over rows (text, lang) without nulls."""
 
     def run(batches):
+        forget_kept()
         tallies: dict[str, Tally] = {}
         for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
             langs = np.array(batch.column("lang").to_pylist(), object)
