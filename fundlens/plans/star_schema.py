@@ -25,6 +25,9 @@ FIRST_LANDING = "2024-01-04"
 # Order of the trades of one security and day; no shorter key is unique.
 TRADE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "px", "qty"]
 
+# Roots of loaded prices by application and folder.
+_price_loads: dict[tuple[str, str], str] = {}
+
 
 class Market:
     def __init__(self, spark: SparkSession, folder: str):
@@ -264,7 +267,14 @@ class Market:
         """A root of tables with all bars, committed in three loads that interleave by month.
 
         The second load is run twice: its first run holds the first days of its months only.
+        Nothing commits to it afterwards, so a session loads it once.
         """
+        key = self.spark.sparkContext.applicationId, self.folder
+        if key not in _price_loads:
+            _price_loads[key] = self._load_prices()
+        return _price_loads[key]
+
+    def _load_prices(self) -> str:
         root = fresh_folder(self.spark, "tables")
         bars = self.prices.select(*schema.PRICES.names)
         third = F.month("date") % 3
