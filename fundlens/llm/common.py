@@ -45,6 +45,15 @@ def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the session's cleaner drop checkpoints, broadcasts and shuffles that nothing uses any more.
+
+    It learns of them when the driver's heap is collected, which is rare on a driver that only
+    plans. Operators that store many steps call this between phases.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def per_worker(key, build: Callable):
     """What `build` returns, once per Python worker and key; one value is kept per kind (key[0])."""
     kind, rest = key
