@@ -263,7 +263,8 @@ def encode(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str
 def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
     """doc_id and bytes (binary), one row per input row; null or no ids give no bytes.
 
-    An id outside the vocabulary is an error. Other columns are dropped.
+    An id outside the vocabulary is an error. Repeated rows and ids are decoded row by row; an
+    empty table gives no rows; other columns are dropped.
     """
     codec, rows = _codec(df.sparkSession, path), pick(df, doc_id=id_column, ids=ids_column)
 
@@ -279,8 +280,9 @@ def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str
 def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256.
 
-    Encodes like `encode` and decodes the ids like `decode`, in one pass over the texts; the
-    same results are defined for nulls, empty and repeated rows.
+    Encodes like `encode` and decodes the ids like `decode`, in one pass over the texts. A null or
+    empty text has no ids and the digests of nothing; repeated rows and ids are rows like
+    others; an empty table gives no rows; other columns are dropped.
     """
     codec, rows = _codec(df.sparkSession, path), pick(df, doc_id=id_column, text=text_column)
 

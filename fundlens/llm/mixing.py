@@ -136,7 +136,11 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGE
 def sample(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS,
            seed: str = SEED, id_column: str = "doc_id", text_column: str = "text",
            source_column: str = "source") -> DataFrame:
-    """The mixture itself: df's rows and columns, each row as often as `mix` decides."""
+    """The mixture itself: df's rows and columns, each row as often as `mix` decides.
+
+    Null texts have size 0 and null sources are one source, as in `mix`; repeated rows and ids
+    are taken together. An empty table gives no rows.
+    """
     sized = _sized(tagged(df, doc_id=id_column, text=text_column, source=source_column), seed)
     rows = _decided(sized, decisions(sized, weights, budget, max_epochs)).where("copies > 0")
     return untagged(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), df)

@@ -222,7 +222,9 @@ def redact(df: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]
            text_column: str = "text", length_column: str | None = None) -> DataFrame:
     """df with every span replaced by the mask, overlapping spans by one; all columns and rows stay.
 
-    A null text stays null. length_column, if given, gets the new number of characters.
+    A null text stays null, an empty one empty. length_column, if given, gets the new number of
+    characters. Repeated rows and ids, null ids too, are masked row by row; an empty table gives
+    no rows. Texts are masked whole at any length.
     """
     found = _found(tagged(df, doc_id=id_column, text=text_column), rules)
     text = F.col("text")
