@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 
 from fundlens.llm.common import per_worker, pick
 from fundlens.llm.pretokens import split
+from fundlens.llm.runs import slices
 
 # Words read together, words per recursive query, rows of all its rounds at most (a word of n
 # bytes has up to n * n), tokens per decoding query, and words a worker remembers.
@@ -31,6 +32,8 @@ WORDS_PER_QUERY = 20_000
 ROWS_PER_QUERY = 2_000_000
 TOKENS_PER_QUERY = 500_000
 MAX_REMEMBERED = 600_000
+# Bytes of text encoded, digested and decoded together.
+BYTES_AT_ONCE = 4 << 20
 # Longer words (bytes) are merged with a heap: the recursion contracts one pair per round, so
 # its rows grow with the square of a word's length. Both give the same tokens.
 MAX_RECURSIVE_BYTES = 400
@@ -287,7 +290,7 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column:
     codec, rows = _codec(df.sparkSession, path), pick(df, doc_id=id_column, text=text_column)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
             names, ids = codec().names, codec().encode(_texts(batch))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"),
