@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.session import fresh_folder
+from fundlens.session import fresh_folder, stored  # noqa: F401 (for the operators)
 
 # A word is a run of characters other than ASCII white space (fixed value of the contracts).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,13 +38,6 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return tagged(df, **names).select(*names)
 
 
-def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
-    """The rows as a written table in the shared folder: packed columns, short lineage."""
-    folder = fresh_folder(df.sparkSession, kind)
-    df.write.option("compression", compression).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def release(spark: SparkSession) -> None:
     """Let the session's cleaner drop checkpoints, broadcasts and shuffles that nothing uses any more.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fundlens.operators.market import KEY
 from fundlens.operators.portfolio import ETF, portfolio_series
 from fundlens.operators.series import last_rows
+from fundlens.session import stored
 from fundlens.sources.commits import Snapshot, snapshot
 from fundlens.sources.summaries import month_summary
 from fundlens.sources.tables import SCHEMAS, read_attempts, read_loads
@@ -30,9 +31,10 @@ def month_of(date: str) -> Column:
 
 def _rows_of_months(spark: SparkSession, root: str, at: Snapshot, wanted: DataFrame) -> DataFrame:
     """Stored prices of the wanted (constituent_id, month); no file of another month is read."""
+    wanted = stored(wanted.select(KEY, "month"), "wanted")  # read for its months, and for the rows
     months = [r.month for r in wanted.select("month").distinct().collect()]  # as many as the table's months at most
-    stored = read_loads(spark, root, "prices", at=at).where(F.col("month").isin(months))
-    return stored.join(wanted.select(KEY, "month"), [KEY, "month"], "left_semi").select(*_COLUMNS)
+    rows = read_loads(spark, root, "prices", at=at).where(F.col("month").isin(months))
+    return rows.join(wanted, [KEY, "month"], "left_semi").select(*_COLUMNS)
 
 
 def _months_back(months: DataFrame, n: int) -> DataFrame:
@@ -56,8 +58,8 @@ def changed_keys(spark: SparkSession, root: str, since: int) -> DataFrame:
 
 
 def first_changes(keys: DataFrame) -> DataFrame:
-    """constituent_id and first, the first date that changed."""
-    return keys.groupBy(KEY).agg(F.min("date").alias("first"))
+    """constituent_id and first, the first date that changed; stored, as it is read for old and for new rows."""
+    return stored(keys.groupBy(KEY).agg(F.min("date").alias("first")), "first")
 
 
 def recomputed_windows(spark: SparkSession, root: str, first: DataFrame, back: int, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -81,16 +83,16 @@ def maintained_windows(old: DataFrame, new: DataFrame, first: DataFrame) -> Data
 
 
 def reached(keys: DataFrame, holdings: DataFrame) -> DataFrame:
-    """etf_upload_id and date of the portfolio prices that changed rows go into."""
-    return keys.distinct().join(holdings.select(ETF, KEY), KEY).select(ETF, "date").distinct()
+    """etf_upload_id and date of the portfolio prices that changed rows go into; stored, as `first_changes`."""
+    return stored(keys.distinct().join(holdings.select(ETF, KEY), KEY).select(ETF, "date").distinct(), "points")
 
 
 def recomputed_series(spark: SparkSession, root: str, points: DataFrame, holdings: DataFrame) -> DataFrame:
     """portfolio_series on the given (etf_upload_id, date) only."""
     at = snapshot(spark, root)
     months = [r.month for r in points.select(month_of("date").alias("month")).distinct().collect()]
-    stored = read_loads(spark, root, "prices", at=at).where(F.col("month").isin(months))
-    rows = stored.join(points.select("date").distinct(), "date", "left_semi")
+    rows = read_loads(spark, root, "prices", at=at).where(F.col("month").isin(months))
+    rows = rows.join(points.select("date").distinct(), "date", "left_semi")
     return portfolio_series(rows, holdings).join(points, [ETF, "date"], "left_semi")
 
 
