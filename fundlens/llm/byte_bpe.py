@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fundlens.llm.common import per_worker, pick
+from fundlens.llm.common import forget_kept, per_worker, pick, tidy
 from fundlens.llm.pretokens import split
 from fundlens.llm.runs import slices
 
@@ -230,7 +230,12 @@ def _codec(spark, path: str):
         raise ValueError("the vocabulary lacks a single byte")
     sent = spark.sparkContext.broadcast((ranks, *merge_pairs(ranks)))  # bounded by the vocabulary
     key = md5(Path(path).read_bytes()).hexdigest()
-    return lambda: per_worker(("byte_bpe", key), lambda: Codec(*sent.value))
+
+    def build():
+        forget_kept()
+        return Codec(*sent.value)
+
+    return lambda: per_worker(("byte_bpe", key), build)
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -260,7 +265,7 @@ def encode(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), _lists(codec().encode(_texts(batch)))], ["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -277,7 +282,7 @@ def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str
                 [batch.column("doc_id"), pa.array(codec().decode(_ids(batch.column("ids"))), pa.binary())],
                 ["doc_id", "bytes"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bytes binary")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
 def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -300,4 +305,4 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column:
             ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

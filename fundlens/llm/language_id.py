@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import doc_fold, forget_kept, pick, tagged, untagged
+from fundlens.llm.common import doc_fold, forget_kept, pick, tagged, tidy, untagged
 from fundlens.llm.runs import slices
 from fundlens.session import materialize
 
@@ -117,7 +117,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
         for lang, tally in tallies.items():
             yield tally.batch(lang)
 
-    return rows.select("text", "lang").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+    return rows.select("text", "lang").mapInArrow(tidy(run), "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
 
@@ -286,7 +286,7 @@ def identify(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+        tidy(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def identified(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -309,4 +309,4 @@ def identified(df: DataFrame, id_column: str = "doc_id", text_column: str = "tex
             filled = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), pa.array(langs, batch.column(at).type)))
             yield filled.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
 
-    return untagged(rows.mapInArrow(run, rows.schema), df)
+    return untagged(rows.mapInArrow(tidy(run), rows.schema), df)
