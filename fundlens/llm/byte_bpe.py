@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fundlens.llm.common import forget_kept, per_worker, pick, tidy
+from fundlens.llm.common import bounded_batches, forget_kept, per_worker, pick, tidy
 from fundlens.llm.pretokens import split
 from fundlens.llm.runs import slices
 
@@ -225,6 +225,7 @@ class Codec:
 
 def _codec(spark, path: str):
     """A function that gives the worker's codec for a rank file, which the driver reads."""
+    bounded_batches(spark)
     ranks = read_ranks(path)
     if not all(bytes([b]) in ranks for b in range(256)):
         raise ValueError("the vocabulary lacks a single byte")

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import doc_fold, forget_kept, pick, tagged, tidy, untagged
+from fundlens.llm.common import bounded_batches, doc_fold, forget_kept, pick, tagged, tidy, untagged
 from fundlens.llm.runs import slices
 from fundlens.session import materialize
 
@@ -248,6 +248,7 @@ def train(rows: DataFrame) -> Model | None:
 
     The counts of kept contexts reach the driver; they grow with the tree.
     """
+    bounded_batches(rows.sparkSession)
     counted = materialize(count_grams(rows.where("text IS NOT NULL AND lang IS NOT NULL")))
     table = pruned(counted).toArrow()
     if table.num_rows == 0:
