@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fundlens.llm.common import bounded_batches, forget_kept, per_worker, pick, tidy
+from fundlens.llm.common import bounded_batches, forget_kept, give_back, per_worker, pick, tidy
 from fundlens.llm.pretokens import split
 from fundlens.llm.runs import slices
 
@@ -286,6 +286,21 @@ def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str
     return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
+def digested(codec: Codec, batches):
+    """Digests of pieces of the batches (doc_id, text); what a piece took is given back before the next."""
+    for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
+        ids = codec.encode(_texts(batch))
+        out = pa.RecordBatch.from_arrays([
+            batch.column("doc_id"),
+            pa.array([len(i) for i in ids], pa.int64()),
+            pa.array([sha256(",".join(codec.names[i]).encode()).hexdigest() for i in ids]),
+            pa.array([sha256(b).hexdigest() for b in codec.decode(ids)]),
+        ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        del ids
+        give_back()
+        yield out
+
+
 def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and decoded_sha256.
 
@@ -296,14 +311,7 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column:
     codec, rows = _codec(df.sparkSession, path), pick(df, doc_id=id_column, text=text_column)
 
     def run(batches):
-        for batch in (part for batch in batches for part in slices(batch, BYTES_AT_ONCE)):
-            names, ids = codec().names, codec().encode(_texts(batch))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array([len(i) for i in ids], pa.int64()),
-                pa.array([sha256(",".join(names[i]).encode()).hexdigest() for i in ids]),
-                pa.array([sha256(b).hexdigest() for b in codec().decode(ids)]),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        yield from digested(codec(), batches)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
